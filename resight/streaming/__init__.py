@@ -1,0 +1 @@
+"""Nothing is owed here: the catalogue work is batch only (see README)."""
