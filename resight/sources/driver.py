@@ -174,7 +174,7 @@ def auto_responses(spark: SparkSession, folder: str) -> DataFrame:
             F.when(k % 18 != 0, k % 8 == 0).alias("trailing_edge_clear"),
             (k % 3 == 0).alias("melon_present"),
             (k % 22 == 0).alias("crop_recommended"),
-            F.when(k % 46 != 0, folder_name).alias("output_folder"),
+            F.when(k % 92 != 0, folder_name).alias("output_folder"),
             F.concat(F.lit("note "), k.cast("string")).alias("rationale"),
         )
     )
