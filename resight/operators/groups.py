@@ -155,12 +155,16 @@ def first_known_label(
     ).drop("_known")
 
 
+def class_of_first_year(year: str, cls: str) -> Column:
+    """Aggregate: class in the first known year."""
+    return F.min_by(F.col(cls), F.when(F.col(year).isNotNull(), F.struct(year, cls)))
+
+
 def first_year_class(
     rows: DataFrame, key: str, year: str, cls: str, spread: Sequence[str], out: str = "first_year_class"
 ) -> DataFrame:
     """Class of the first year on every row of the individual (single-valued by contract)."""
-    first = F.min_by(F.col(cls), F.struct(year, cls)).alias(out)
-    return attach_group(rows, [key], [first], spread)
+    return attach_group(rows, [key], [class_of_first_year(year, cls).alias(out)], spread)
 
 
 def first_reliable_year(

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from resight.operators.gates import require_unique
 from resight.operators.skew import spread_join
 
+BROADCAST_ROWS = 200_000  # checked by a count; a correction is a few short texts
+
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join in which null keys match null keys; the keys appear once."""
@@ -49,22 +51,22 @@ def apply_corrections(
     corrections: DataFrame,
     keys: Sequence[str],
     column: str,
+    spread: Sequence[str],
     new: str = "new_value",
-    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Manual corrections: where (keys, current value) is listed, take the new value.
 
     ``corrections`` has the keys, ``column`` (value to replace, optional) and ``new``. Rows
-    without a listed correction, null keys included, stay as they are. The corrections are few
-    against the rows, so with ``spread`` columns each is repeated per salt and no individual, nor
-    the unidentified rows, meet in one task; a short list still becomes a broadcast at run time.
+    without a listed correction, null keys included, stay as they are. The list is counted: up to
+    BROADCAST_ROWS it is broadcast; a longer one is repeated per salt of the ``spread`` columns, so
+    that neither an individual nor the unidentified rows meet in one task.
     """
     on = [*keys, column] if column in corrections.columns else list(keys)
     hit = corrections.select(*on, F.col(new).alias("_new"), F.lit(True).alias("_hit"))
-    if spread:
-        joined = spread_join(rows, hit, on, spread)
+    if hit.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        joined = rows.join(F.broadcast(hit), on, "left")
     else:
-        joined = rows.join(hit, on, "left")
+        joined = spread_join(rows, hit, on, spread)
     return joined.withColumn(
         column, F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column))
     ).select(*rows.columns)

@@ -163,21 +163,23 @@ def consolidated(first: DataFrame, second: DataFrame, names: tuple[str, str]) ->
 
 def id_overlap(first: DataFrame, second: DataFrame, names: tuple[str, str]) -> DataFrame:
     """Every individual with the datasets it occurs in."""
-    a = first.filter(F.col("id").isNotNull()).select("id")
-    b = second.filter(F.col("id").isNotNull()).select("id")
-    return (
-        a.intersect(b).withColumn("found_in", F.lit("both"))
-        .unionByName(a.subtract(b).withColumn("found_in", F.lit(f"only {names[0]}")))
-        .unionByName(b.subtract(a).withColumn("found_in", F.lit(f"only {names[1]}")))
-    )
+    both = tagged_union(first.select("id"), second.select("id"), names)
+    lo, hi = F.min("source_no"), F.max("source_no")
+    where = F.when(lo < hi, "both").when(lo == 0, f"only {names[0]}").otherwise(f"only {names[1]}")
+    return both.groupBy("id").agg(where.alias("found_in"))
 
 
 def biopsy_agreement(first: DataFrame, second: DataFrame) -> DataFrame:
     """Two-by-two table of biopsy evidence for individuals in both datasets."""
-    a = dataset_summary(first).select("id", F.col("has_biopsy").alias("b1"))
-    b = dataset_summary(second).select("id", F.col("has_biopsy").alias("b2"))
+    both = tagged_union(first.select("id", "biopsy"), second.select("id", "biopsy"), ("1", "2"))
+    yes, no = F.col("biopsy") == "YES", F.col("source_no")
+    per_id = both.groupBy("id").agg(
+        any_of(yes & (no == 0)).alias("b1"),
+        any_of(yes & (no == 1)).alias("b2"),
+        (F.min(no) < F.max(no)).alias("shared"),
+    )
     b1, b2 = F.col("b1"), F.col("b2")
-    return a.join(b, "id").agg(
+    return per_id.filter("shared").agg(
         F.count_if(b1 & b2).alias("in_both"),
         F.count_if(b1 & ~b2).alias("only_first"),
         F.count_if(~b1 & b2).alias("only_second"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from resight.functions import dates, ids, keywords as kw
@@ -140,22 +140,29 @@ def supplement_counts(final: DataFrame) -> DataFrame:
 
 def master_ids(final: DataFrame, inclusive: bool = False, strict: bool = True) -> DataFrame:
     """Older master table: distinct photo descriptions per individual, side and label."""
-    lo, hi = (strict_min, strict_max) if strict else (F.min, F.max)
-    bounds = final.groupBy("id", "id_side").agg(
-        F.year(lo("date")).alias("year1"), F.year(hi("date")).alias("yearlast")
+    keys = ["id", "id_side", "sex", "sex_genetic"]
+    described = final.groupBy(*keys, "qrate", "reliable", "keyword").agg(
+        F.min("date").alias("lo"), F.max("date").alias("hi"), F.count_if(F.col("date").isNull()).alias("undated")
     )
-    described = final.select(
-        "id", "id_side", "sex", "sex_genetic", "qrate", "reliable", "keyword"
-    ).distinct()
-    counts = described.groupBy("id", "id_side", "sex", "sex_genetic").agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(bounds, ["id", "id_side"]).select(
+    counts = described.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.sum("undated").alias("undated"),
+    )
+    # One row per label of an individual's side, so the window is tiny.
+    w = Window.partitionBy("id", "id_side")
+    known = (F.sum("undated").over(w) == 0) if strict else F.lit(True)
+    year1 = F.when(known, F.year(F.min("lo").over(w)))
+    yearlast = F.when(known, F.year(F.max("hi").over(w)))
+    return counts.select(
         ids.id_number("id").alias("id"),
         "id_side",
         "sex",
         "sex_genetic",
-        "year1",
-        "yearlast",
-        dates.year_span(F.col("year1"), F.col("yearlast"), inclusive).alias("animal_yrs"),
+        year1.alias("year1"),
+        yearlast.alias("yearlast"),
+        dates.year_span(year1, yearlast, inclusive).alias("animal_yrs"),
         "n",
     )
 

@@ -288,12 +288,11 @@ def review_tables(summary: DataFrame) -> DataFrame:
         "first_femalej_year", "first_malem_year", "n_femalej", "n_malem",
     ]
 
-    tags = F.filter(
+    tags = F.array_compact(
         F.array(
             F.when(F.col("current_sex") == "CONFLICT", "conflict"),
             F.when(F.col("current_sex") == "UNK_from_known", "unk_from_known"),
             F.when(F.col("possible_maturation"), "maturation"),
-        ),
-        lambda t: t.isNotNull(),
+        )
     )
     return summary.withColumn("review", F.explode(tags)).select("review", *columns)

@@ -164,24 +164,22 @@ def biopsy_check(base: DataFrame) -> DataFrame:
 
 def evidence_overlap(base: DataFrame) -> DataFrame:
     """Which individuals are biopsied, labelled without morphology, or both."""
-    biopsied = base.filter(F.col("biopsy").isNotNull()).select("id")
-    lacking = _labelled_without_morphology(base).select("id")
-
-    def tag(ids: DataFrame, name: str) -> DataFrame:
-        return ids.select("id", F.lit(name).alias("overlap"))
-
-    return (
-        tag(biopsied.intersect(lacking), "biopsied_and_no_melon")
-        .unionByName(tag(lacking.subtract(biopsied), "no_melon_not_biopsied"))
-        .unionByName(tag(biopsied.subtract(lacking), "biopsied_with_melon"))
+    lacking = kw.known("sex") & (F.col("melon_sex") == kw.UNKNOWN)
+    per_id = base.groupBy("id").agg(
+        any_of(F.col("biopsy").isNotNull()).alias("biopsied"), any_of(lacking).alias("lacking")
+    )
+    overlap = (
+        F.when(F.col("biopsied") & F.col("lacking"), "biopsied_and_no_melon")
+        .when(F.col("lacking"), "no_melon_not_biopsied")
+        .when(F.col("biopsied"), "biopsied_with_melon")
     )
+    return per_id.select("id", overlap.alias("overlap")).filter("overlap is not null")
 
 
 def problem_ids(base: DataFrame) -> DataFrame:
     """Labelled without morphology and never biopsied: where does the label come from?"""
-    biopsied = base.filter(F.col("biopsy").isNotNull()).select("id")
-    bad = _labelled_without_morphology(base).select("id").subtract(biopsied)
-    rows = base.join(bad, "id", "left_semi")
+    bad = evidence_overlap(base).filter("overlap = 'no_melon_not_biopsied'")
+    rows = base.join(bad.select("id"), "id", "left_semi")
     counts = rows.groupBy("id").agg(
         first_value("sex", FILE_ORDER, kw.known("sex")).alias("sex"),
         F.count(F.lit(1)).alias("n_photos"),

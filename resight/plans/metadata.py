@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from resight.functions import dates, keywords as kw
 from resight.operators.gates import require_single
-from resight.operators.groups import sample_one
+from resight.operators.groups import class_of_first_year, sample_one
 from resight.operators.joins import apply_corrections
 from resight.operators.skew import attach_group
 
@@ -40,14 +40,13 @@ def side_photos(listing: DataFrame, side: str, fixes: DataFrame | None = None) -
 
 
 def with_ages(rows: DataFrame) -> DataFrame:
-    first_class = F.min_by("age_class", F.struct("year", "age_class"))
     out = attach_group(
         rows,
         ["title"],
         [
             F.min("year").alias("min_year"),
             F.max("year").alias("max_year"),
-            first_class.alias("first_year_class"),
+            class_of_first_year("year", "age_class").alias("first_year_class"),
         ],
         ["photo_seq"],
     )
@@ -63,8 +62,11 @@ def with_ages(rows: DataFrame) -> DataFrame:
 def individual_year_metadata(
     listing: DataFrame, side: str, seed: int = 0, fixes: DataFrame | None = None, check: bool = False
 ) -> DataFrame:
-    """One record per (individual, year). The sampled record is the same on every run."""
-    rows = with_ages(side_photos(listing, side, fixes).filter(F.col("year").isNotNull()))
+    """One record per (individual, year). The sampled record is the same on every run.
+
+    Undated photos form a year of their own, without an age.
+    """
+    rows = with_ages(side_photos(listing, side, fixes))
     if check:
         require_single(rows, ["title"], "sex")
         require_single(rows, ["title", "year"], "minimum_age")
@@ -74,7 +76,7 @@ def individual_year_metadata(
 
 def individual_years(listing: DataFrame, side: str) -> DataFrame:
     """The part of the metadata that does not depend on which record is sampled."""
-    rows = with_ages(side_photos(listing, side).filter(F.col("year").isNotNull()))
+    rows = with_ages(side_photos(listing, side))
     return rows.groupBy("title", "year").agg(
         F.min("min_year").alias("min_year"),
         F.max("max_year").alias("max_year"),

@@ -92,6 +92,18 @@ def large_differences(comparison: DataFrame, at_least: int = 2) -> DataFrame:
     return comparison.filter(F.col("q_diff") >= at_least)
 
 
+def notable(comparison: DataFrame, at_least: int = 2) -> DataFrame:
+    """Boundary cases and large differences in one pass, tagged by kind."""
+    a, b = F.col("lv_q"), F.col("pipe_q")
+    tags = F.array_compact(
+        F.array(
+            F.when(((a == 3) & (b == 2)) | ((a == 2) & (b == 3)), "boundary"),
+            F.when(F.col("q_diff") >= at_least, "large"),
+        )
+    )
+    return comparison.select("*", F.explode(tags).alias("kind"))
+
+
 def agreement(comparison: DataFrame) -> DataFrame:
     """Agreement counts and shares over the images rated by both."""
     a, b = F.col("lv_q"), F.col("pipe_q")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resight.functions import keywords as kw
@@ -34,9 +34,9 @@ def share_within(rows: DataFrame, group: str, column: str, values: Sequence[str]
 
 def share_across(rows: DataFrame, group: str, groups: Sequence[str], column: str) -> DataFrame:
     """The same shares laid out with the groups as columns."""
-    counts = rows.groupBy(group, column).agg(n_rows("n"))
-    totals = counts.groupBy(group).agg(F.sum("n").alias("total"))
-    shares = counts.join(totals, group).withColumn("share", F.col("n") / F.col("total"))
+    # The window sees the counts, one row per (group, value), not the rows.
+    total = F.sum("n").over(Window.partitionBy(group))
+    shares = rows.groupBy(group, column).agg(n_rows("n")).withColumn("share", F.col("n") / total)
     return shares.groupBy(column).agg(
         *[F.max(F.when(F.col(group) == g, F.col("share"))).alias(g.lower()) for g in groups]
     )

@@ -209,7 +209,7 @@ cte(
     "sighted",
     """
 SELECT event_id, CAST(user_id AS VARCHAR) AS id, ts AS datetime,
-  date_diff('microsecond', lag(ts) OVER w, ts) / 60000000.0 AS gap_minutes
+  date_diff('microsecond', lag(ts) OVER w, ts) / CAST(60000000 AS DOUBLE) AS gap_minutes
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """,
 )

@@ -12,6 +12,7 @@ from resight.plans import annual, base as b, catalogues, finalize, keyword_confl
 from resight.plans import label_qa as qa, metadata, rating_runs, stats
 from resight.registry.core import register
 from resight.registry.scalars import compared
+from resight.session import stored
 from resight.sources import driver
 
 DATE_ORDER = by_date("date", "photo_seq")
@@ -27,9 +28,13 @@ def base(spark, d):
     return b.clean_base(driver.listing(spark, d))
 
 
+def corrections(spark, d):
+    """Reviewed corrections: a table of its own, as the reviewer's file would be."""
+    return stored(spark, f"corrections:{d}", lambda: finalize.corrections_from_precedence(base(spark, d)))
+
+
 def final(spark, d):
-    rows = base(spark, d)
-    return finalize.finalize(rows, finalize.corrections_from_precedence(rows))
+    return finalize.finalize(base(spark, d), corrections(spark, d))
 
 
 def melon(spark, d):
@@ -193,8 +198,8 @@ register(
     """SELECT id, first(sex ORDER BY date NULLS LAST, photo_seq) FILTER (WHERE sex IS NOT NULL) AS first_sex,
     coalesce(max(biopsy), 'NO') AS biopsy FROM base GROUP BY id""",
 )
-SAMPLES = """SELECT id, string_agg(keyword, ' | ' ORDER BY at) AS samples FROM (
-    SELECT id, keyword, min(photo_seq) AS at, row_number() OVER (PARTITION BY id ORDER BY min(photo_seq)) AS r
+SAMPLES = """SELECT id, string_agg(keyword, ' | ' ORDER BY pos) AS samples FROM (
+    SELECT id, keyword, min(photo_seq) AS pos, row_number() OVER (PARTITION BY id ORDER BY min(photo_seq)) AS r
     FROM {rows} GROUP BY id, keyword) WHERE r <= 3 GROUP BY id"""
 register(
     "a7_first_distinct_texts",
@@ -264,7 +269,7 @@ EVERYWHERE = """SELECT id, side, count(*) FILTER (WHERE location = 'Gully') AS g
     count(*) FILTER (WHERE location = 'Shortland') AS shortland FROM (SELECT DISTINCT date, location, id, side FROM base WHERE side = 'Left')
     GROUP BY id, side HAVING count(DISTINCT location) FILTER (WHERE location <> '??') = 3"""
 register("a16_seen_everywhere", lambda spark, d: stats.seen_everywhere(base(spark, d), "Left"), EVERYWHERE)
-TIMELINE_YEARS = range(1992, 1999)
+TIMELINE_YEARS = range(1995, 2002)
 TIMELINE = (
     "SELECT id, "
     + ", ".join(f"max(a) FILTER (WHERE year = {y}) AS year_{y}" for y in TIMELINE_YEARS)
@@ -439,9 +444,9 @@ register("w2_fill_up_down", _filled("updown"), _fill_sql(f"coalesce({_UP}, {_DOW
 register(
     "w3_gap_minutes",
     lambda spark, d: scans.gap_to_previous(driver.sightings(spark, d), "id", "datetime", "event_id").select(
-        "event_id", "id", F.round("gap_minutes", 6).alias("gap_minutes")
+        "event_id", "id", F.round(F.col("gap_minutes") * 60_000_000).cast("bigint").alias("gap_micros")
     ),
-    "SELECT event_id, id, round(gap_minutes, 6) AS gap_minutes FROM sighted",
+    "SELECT event_id, id, CAST(round(gap_minutes * 60000000) AS BIGINT) AS gap_micros FROM sighted",
 )
 register(
     "w4_sessionize",
@@ -499,7 +504,7 @@ register(
         metadata.side_photos(driver.tagged_listing(spark, d), "left").select("photo_seq", "title", "year", "age_class"),
         "title", "year", "age_class", ["photo_seq"],
     ).select("photo_seq", "title", "first_year_class"),
-    """SELECT photo_seq, title, first_value(age) OVER (PARTITION BY title ORDER BY y NULLS LAST, age) AS first_year_class
+    """SELECT photo_seq, title, first_value(CASE WHEN y IS NOT NULL THEN age END) OVER (PARTITION BY title ORDER BY y NULLS LAST, age) AS first_year_class
     FROM (SELECT photo_seq, title, year(TRY_CAST(substr(date_original, 1, 10) AS DATE)) AS y,
       CASE WHEN contains(keyword_export, 'samCalf') THEN 'Calf' WHEN contains(keyword_export, 'samJuv') THEN 'Juvenile' ELSE 'Adult' END AS age
       FROM tagged WHERE title <> 'UNK' AND contains(keyword_export, 'Left'))""",

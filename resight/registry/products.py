@@ -21,8 +21,8 @@ register(
     lambda spark, d: b.non_numeric_ids(derived(spark, d)),
     "SELECT id_original, count(*) AS n_photos FROM derived WHERE id IS NULL GROUP BY id_original",
 )
-_SAMPLES = """SELECT id_original, string_agg(keyword, ' | ' ORDER BY at) AS sample_keywords FROM (
-    SELECT id_original, keyword, min(photo_seq) AS at, row_number() OVER (PARTITION BY id_original ORDER BY min(photo_seq)) AS r
+_SAMPLES = """SELECT id_original, string_agg(keyword, ' | ' ORDER BY pos) AS sample_keywords FROM (
+    SELECT id_original, keyword, min(photo_seq) AS pos, row_number() OVER (PARTITION BY id_original ORDER BY min(photo_seq)) AS r
     FROM derived WHERE {where} GROUP BY id_original, keyword) WHERE r <= {k} GROUP BY id_original"""
 register(
     "d2_photos_without_side",
@@ -461,7 +461,7 @@ _SIDE = """SELECT photo_seq, title, y AS year, min(y) OVER w AS min_year, max(y)
       y - min(y) OVER w + CASE first_value(age) OVER (PARTITION BY title ORDER BY y NULLS LAST, age) WHEN 'Calf' THEN 0 WHEN 'Juvenile' THEN 1 ELSE 3 END AS minimum_age
     FROM (SELECT photo_seq, title, year(TRY_CAST(substr(date_original, 1, 10) AS DATE)) AS y,
       CASE WHEN contains(keyword_export, 'samCalf') THEN 'Calf' WHEN contains(keyword_export, 'samJuv') THEN 'Juvenile' ELSE 'Adult' END AS age
-      FROM tagged WHERE title <> 'UNK' AND contains(keyword_export, 'Left')) WHERE y IS NOT NULL WINDOW w AS (PARTITION BY title)"""
+      FROM tagged WHERE title <> 'UNK' AND contains(keyword_export, 'Left')) WINDOW w AS (PARTITION BY title)"""
 register(
     "d38_individual_years",
     lambda spark, d: metadata.individual_years(driver.tagged_listing(spark, d), "left"),

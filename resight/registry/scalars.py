@@ -8,9 +8,10 @@ from resight.functions import dates, ids, keywords as kw, ratings, text
 from resight.operators.joins import apply_corrections
 from resight.plans import annual, base as b, catalogues, finalize, imports, metadata, rating_runs, renames
 from resight.registry.core import register
+from resight.session import stored
 from resight.sources import driver, readers
 
-YEARS = range(1992, 1999)
+YEARS = range(1995, 2002)
 
 
 def listing(*columns):
@@ -120,8 +121,8 @@ register(
 register(
     "p15_year_tag",
     listing(lambda: dates.year_tag("file_name", YEARS).alias("year"), lambda: dates.year_tag("keyword_export", YEARS).alias("none")),
-    """SELECT photo_seq, TRY_CAST(nullif(regexp_extract(file_name, '1992|1993|1994|1995|1996|1997|1998'), '') AS INTEGER) AS year,
-    TRY_CAST(nullif(regexp_extract(keyword_export, '1992|1993|1994|1995|1996|1997|1998'), '') AS INTEGER) AS none FROM listing""",
+    """SELECT photo_seq, TRY_CAST(nullif(regexp_extract(file_name, '1995|1996|1997|1998|1999|2000|2001'), '') AS INTEGER) AS year,
+    TRY_CAST(nullif(regexp_extract(keyword_export, '1995|1996|1997|1998|1999|2000|2001'), '') AS INTEGER) AS none FROM listing""",
 )
 register(
     "p16_side",
@@ -235,7 +236,7 @@ register(
 
 def _corrected(spark, d):
     rows = b.clean_base(driver.listing(spark, d))
-    fixes = finalize.corrections_from_precedence(rows)
+    fixes = stored(spark, f"corrections:{d}", lambda: finalize.corrections_from_precedence(rows))
     return apply_corrections(rows, fixes, ["id"], "sex", spread=["photo_seq"]).select("photo_seq", "id", "sex")
 
 
@@ -438,10 +439,7 @@ register(
 )
 register(
     "f14_boundary_and_large",
-    lambda spark, d: rating_runs.boundary(compared(spark, d)).select(F.lit("boundary").alias("kind"), "match_key", "lv_q", "pipe_q")
-    .unionByName(
-        rating_runs.large_differences(compared(spark, d)).select(F.lit("large").alias("kind"), "match_key", "lv_q", "pipe_q")
-    ),
+    lambda spark, d: rating_runs.notable(compared(spark, d)).select("kind", "match_key", "lv_q", "pipe_q"),
     """SELECT 'boundary' AS kind, match_key, lv_q, pipe_q FROM rated WHERE (lv_q = 3 AND pipe_q = 2) OR (lv_q = 2 AND pipe_q = 3)
     UNION ALL SELECT 'large', match_key, lv_q, pipe_q FROM rated WHERE abs(lv_q - pipe_q) >= 2""",
 )

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -24,14 +26,33 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8) -> SparkSess
     return spark
 
 
+_OWN_DIR = "resight.scratch.dir"
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder for written intermediate tables: the cluster's shared checkpoint folder.
+    """Folder for written intermediate tables: the shared folder the cluster names in
+    ``spark.checkpoint.dir``.
+
+    Only where the session names none (tests on one machine) is a fresh local folder made; the
+    session remembers it, so later calls agree.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_DIR, None)
+    if not shared:
+        shared = tempfile.mkdtemp(prefix="resight-")
+        spark.conf.set(_OWN_DIR, shared)
+    return shared.rstrip("/")
+
+
+def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table written once per session to the scratch folder and read back from there.
 
-    Only where the session names none (tests on one machine) is a fresh local folder made
-    and stored in the session, so later calls agree on it.
+    Readers get column pruning and filter pushdown, a lost executor re-reads files instead of
+    recomputing, and the lineage is cut.
     """
-    name = spark.conf.get("spark.checkpoint.dir", None)
-    if not name:
-        name = tempfile.mkdtemp(prefix="resight-")
-        spark.conf.set("spark.checkpoint.dir", name)
-    return name
+    key = f"resight.stored.{name}"
+    path = spark.conf.get(key, None)
+    if not path:
+        path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+        build().write.parquet(path)
+        spark.conf.set(key, path)
+    return spark.read.parquet(path)

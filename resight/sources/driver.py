@@ -1,15 +1,29 @@
-"""Catalogue inputs derived from the given tables (rules in FIXTURES.md, section 3)."""
+"""Catalogue inputs derived from the given tables (rules in FIXTURES.md, section 3).
+
+The listings are derived once per session and stored as Parquet, as a catalogue would be, so
+that every query starts from a table with real columns to prune and filters to push down.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from resight.session import stored
 from resight.sources.readers import table
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """Photo listing, one row per order."""
+    return stored(spark, f"listing:{folder}", lambda: _listing(spark, folder))
+
+
+def tagged_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Listing whose label words use the tag vocabulary of the catalogue checks."""
+    return stored(spark, f"tagged:{folder}", lambda: _tagged_listing(spark, folder))
+
+
+def _listing(spark: SparkSession, folder: str) -> DataFrame:
     k, c, s = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     y, day = F.year("o_orderdate"), F.col("o_orderdate").cast("date")
     priority = F.substring("o_orderpriority", 1, 1)
@@ -75,8 +89,7 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def tagged_listing(spark: SparkSession, folder: str) -> DataFrame:
-    """Listing whose label words use the tag vocabulary of the catalogue checks."""
+def _tagged_listing(spark: SparkSession, folder: str) -> DataFrame:
     text = F.col("keyword_export")
     for old, new in [
         ("Melon_F", "Sex_F"),

@@ -75,7 +75,7 @@ def main(argv):
     folder = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
     spark, con = local_session(), connect(folder)
-    bad = 0
+    bad, began = 0, time.time()
     for name in names:
         start = time.time()
         try:
@@ -85,9 +85,9 @@ def main(argv):
         if not result.startswith(("ok", "no oracle")) or "EMPTY" in result:
             bad += 1
             print(f"{name}: {result} ({time.time() - start:.1f}s)", flush=True)
-        elif argv[1:]:
+        else:
             print(f"{name}: {result} ({time.time() - start:.1f}s)", flush=True)
-    print(f"{len(names)} queries, {bad} to look at")
+    print(f"{len(names)} queries, {bad} to look at, {time.time() - began:.0f}s")
     return bad
 
 
