@@ -30,8 +30,16 @@ def _day(text: Column, pattern: str, fmt: str) -> Column:
 
 
 def listing_date(text: Column | str) -> Column:
-    """Day at the start of 'yyyy-M-d ...'."""
-    return _day(_col(text), _ISO_DAY, "yyyy-M-d")
+    """Day at the start of 'yyyy-M-d ...', whatever follows.
+
+    The plain cast reads nearly every row; only what it refuses goes through the pattern. A cast
+    alone would also take a bare year or year and month, hence the test for both dashes.
+    """
+    text = _col(text)
+    dashes = (F.substring(text, 5, 1) == "-") & F.locate("-", text, 6).between(7, 8)
+    return F.coalesce(
+        F.when(dashes, F.substring(text, 1, 10).try_cast("date")), _day(text, _ISO_DAY, "yyyy-M-d")
+    )
 
 
 def any_date(
@@ -97,3 +105,11 @@ def years_between(first: Column, last: Column) -> Column:
 
 def year_span(first_year: Column, last_year: Column, inclusive: bool = True) -> Column:
     return last_year - first_year + F.lit(1 if inclusive else 0)
+
+
+def wall_micros(ts: Column | str) -> Column:
+    """Microseconds of the wall-clock time, free of time zones and daylight-saving jumps."""
+    ts = _col(ts)
+    minutes = (F.unix_date(ts.cast("date")).cast("bigint") * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    seconds = F.extract(F.lit("SECOND"), ts)
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")

@@ -18,16 +18,20 @@ def canonical_id(text: Column | str) -> Column:
     Exponent and hex spellings count as non-numeric, as do numbers beyond 28 integer digits.
     """
     text = F.col(text) if isinstance(text, str) else text
+    # Whole numbers, nearly all rows, take the cast; the pattern sees only what is left.
+    plain = text.try_cast("bigint").cast("string")
     number = F.when(text.rlike(_PLAIN_NUMBER), F.trim(text)).try_cast("decimal(38,10)")
     whole = F.floor(number)
-    return F.when(number == whole, whole.cast("string")).otherwise(
+    other = F.when(number == whole, whole.cast("string")).otherwise(
         F.regexp_replace(number.cast("string"), r"0+$", "")
     )
+    return F.coalesce(plain, other)
 
 
 def id_number(text: Column | str) -> Column:
     """Numeric sort key of an identifier, null when it is not a whole number."""
-    return canonical_id(text).try_cast("bigint")
+    text = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(text.try_cast("bigint"), canonical_id(text).try_cast("bigint"))
 
 
 def null_placeholder(

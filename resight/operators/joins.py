@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resight.operators.gates import require_unique
-from resight.operators.skew import spread_join
+from resight.operators.skew import join_back
 
 BROADCAST_ROWS = 200_000  # checked by a count; a correction is a few short texts
 
@@ -58,15 +58,16 @@ def apply_corrections(
 
     ``corrections`` has the keys, ``column`` (value to replace, optional) and ``new``. Rows
     without a listed correction, null keys included, stay as they are. The list is counted: up to
-    BROADCAST_ROWS it is broadcast; a longer one is repeated per salt of the ``spread`` columns, so
-    that neither an individual nor the unidentified rows meet in one task.
+    BROADCAST_ROWS it is broadcast; with a longer one large groups are split by the ``spread``
+    columns.
     """
     on = [*keys, column] if column in corrections.columns else list(keys)
     hit = corrections.select(*on, F.col(new).alias("_new"), F.lit(True).alias("_hit"))
     if hit.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         joined = rows.join(F.broadcast(hit), on, "left")
     else:
-        joined = spread_join(rows, hit, on, spread)
+        sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("group_rows"))
+        joined = join_back(rows, hit.join(sizes, on), on, spread, sizes=sizes.dropna(subset=on))
     return joined.withColumn(
         column, F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column))
     ).select(*rows.columns)

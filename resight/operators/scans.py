@@ -9,12 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from resight.operators.order import Order
+from resight.functions.dates import wall_micros
+from resight.operators.order import Order, by_sequence
 from resight.operators.skew import join_back
 
+_MINUTE = 60_000_000  # microseconds
+_DAY = 1440 * _MINUTE
+
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
@@ -88,49 +92,46 @@ def fill_group(
     return (
         local.join(carried, [key, *names], "left")
         .withColumn(out, new)
-        .drop("_local", "_carried", "_head", *names)
+        .select(*dict.fromkeys([*rows.columns, out]))
     )
 
 
-def _bucketed(rows: DataFrame, ts: str, gap_seconds: int) -> DataFrame:
-    """Cut time at most ``gap`` wide and never across midnight: a bucket is inside one session."""
-    day = F.col(ts).cast("date")
-    micros = F.timestamp_diff("MICROSECOND", day.cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+def _bucketed(rows: DataFrame, ts: str, bucket_minutes: int) -> DataFrame:
+    """Cut time at most ``bucket_minutes`` wide and never across midnight."""
+    micros = wall_micros(ts)
     return rows.withColumns(
-        {"_day": day, "_bucket": F.floor(micros / F.lit(gap_seconds * 1_000_000)).cast("int")}
+        {
+            "_micros": micros,
+            "_day": F.col(ts).cast("date"),
+            "_bucket": F.floor(F.pmod(micros, F.lit(_DAY)) / F.lit(bucket_minutes * _MINUTE)).cast("int"),
+        }
     )
 
 
-def _seconds(start: Column, end: Column) -> Column:
-    return F.timestamp_diff(
-        "MICROSECOND", start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
-    ) / F.lit(1_000_000.0)
-
-
 def session_buckets(rows: DataFrame, key: str, ts: str, gap_minutes: int = 30) -> DataFrame:
     """Sessions from one row per (key, time bucket).
 
     A new session starts when more than ``gap_minutes`` passed since the previous record of the
-    key; exactly the gap still belongs to it. Records are reduced to the first and last time of
-    each bucket before any shuffle, so the window below sees at most one row per gap length of
-    calendar time, however many records the key has.
+    key; exactly the gap still belongs to it. A bucket is no wider than the gap, so it lies in one
+    session and its first and last time are all that matters. Records are reduced to those before
+    any shuffle, and the window below sees at most one row per gap length of calendar time,
+    however many records the key has.
     """
     timed = rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     buckets = (
-        _bucketed(timed, ts, gap_minutes * 60)
+        _bucketed(timed, ts, gap_minutes)
         .groupBy(key, "_day", "_bucket")
         .agg(
-            F.min(ts).alias("bucket_start"),
-            F.max(ts).alias("bucket_end"),
+            F.min("_micros").alias("start"),
+            F.max("_micros").alias("end"),
             F.count(F.lit(1)).alias("group_rows"),
         )
     )
     w = Window.partitionBy(key).orderBy("_day", "_bucket")
-    previous = F.lag("bucket_end").over(w)
-    is_new = previous.isNull() | (_seconds(previous, F.col("bucket_start")) > gap_minutes * 60)
+    previous = F.lag("end").over(w)
+    is_new = previous.isNull() | (F.col("start") - previous > gap_minutes * _MINUTE)
     return (
-        buckets.withColumn("previous_end", previous)
-        .withColumn("_new", is_new.cast("int"))
+        buckets.withColumn("_new", is_new.cast("int"))
         .withColumn("encounter_id", F.sum("_new").over(w.rowsBetween(*_UP_TO)))
         .drop("_new")
     )
@@ -147,7 +148,7 @@ def running_number(rows: DataFrame, key: str, order: Order, out: str) -> DataFra
         cut.withColumn("_local", F.row_number().over(inside))
         .join(offsets, [key, *names], "left")
         .withColumn(out, F.col("_local") + F.col("before"))
-        .drop("_local", "before", *names)
+        .select(*rows.columns, out)
     )
 
 
@@ -175,13 +176,11 @@ def sessionize(
     """
     buckets = session_buckets(rows, key, ts, gap_minutes)
     timed = join_back(
-        _bucketed(rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()), ts, gap_minutes * 60),
+        _bucketed(rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()), ts, gap_minutes),
         buckets.select(key, "_day", "_bucket", "group_rows", "encounter_id"),
         [key, "_day", "_bucket"],
         [seq],
-    ).drop("_day", "_bucket")
-    from resight.operators.order import by_sequence
-
+    ).drop("_micros", "_day", "_bucket")
     untimed = rows.filter(F.col(key).isNotNull() & F.col(ts).isNull())
     totals = buckets.groupBy(key).agg(F.max("encounter_id").alias("_sessions"))
     numbered = (
@@ -203,21 +202,20 @@ def gap_to_previous(rows: DataFrame, key: str, ts: str, seq: str, bucket_minutes
     instants = timed.groupBy(key, ts).agg(
         F.min(seq).alias("_first_seq"), F.count(F.lit(1)).alias("group_rows")
     )
-    cut = _bucketed(instants, ts, bucket_minutes * 60)
-    ends = cut.groupBy(key, "_day", "_bucket").agg(F.max(ts).alias("_end"))
+    cut = _bucketed(instants, ts, bucket_minutes)
+    ends = cut.groupBy(key, "_day", "_bucket").agg(F.max("_micros").alias("_end"))
     before = ends.select(
         key,
         "_day",
         "_bucket",
         F.lag("_end").over(Window.partitionBy(key).orderBy("_day", "_bucket")).alias("_end_before"),
     )
-    inside = Window.partitionBy(key, "_day", "_bucket").orderBy(ts)
-    previous = F.coalesce("_previous", "_end_before")
+    inside = Window.partitionBy(key, "_day", "_bucket").orderBy("_micros")
+    gap = F.col("_micros") - F.coalesce("_previous", "_end_before")
     gaps = (
-        cut.withColumn("_previous", F.lag(ts).over(inside))
+        cut.withColumn("_previous", F.lag("_micros").over(inside))
         .join(before, [key, "_day", "_bucket"], "left")
-        .withColumn("_gap", _seconds(previous, F.col(ts)) / F.lit(60.0))
-        .select(key, ts, "group_rows", "_first_seq", "_gap")
+        .select(key, ts, "group_rows", "_first_seq", (gap / F.lit(_MINUTE)).alias("_gap"))
     )
     joined = join_back(rows, gaps, [key, ts], [seq])
     return joined.withColumn(

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A group with more rows than this is split over SALTS tasks. The list of hot groups is the only
-# broadcast: it cannot hold more than (rows / HOT_ROWS) keys, whatever the data.
-HOT_ROWS = 4_000_000
-SALTS = 256
+# A group is split into parts of about this many rows. The list of groups that need splitting is
+# the only broadcast: it cannot hold more than (rows / PART_ROWS) keys, whatever the data.
+PART_ROWS = 4_000_000
 
 
 def join_back(
@@ -19,33 +18,36 @@ def join_back(
     keys: Sequence[str],
     spread: Sequence[str],
     size: str = "group_rows",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    sizes: DataFrame | None = None,
+    part_rows: int | None = None,
 ) -> DataFrame:
     """Left join of one row per group onto the detail rows.
 
-    ``groups[size]`` is the number of detail rows of the group. Rows of hot groups, and rows with
-    a null key (which match nothing), are spread by a hash of the ``spread`` columns; the group
-    row of a hot group is repeated once per salt. All other groups keep a single salt.
+    ``groups[size]`` is the number of detail rows of the group. A group of n parts has its detail
+    rows dealt over n salts by a hash of the ``spread`` columns and its group row repeated n
+    times, so no task gets more than a part of it. Rows with a null key match nothing and are
+    spread freely. Where ``groups`` comes from a long plan, ``sizes`` may give the same counts
+    more cheaply.
     """
-    keys = list(keys)
-    hot = groups.filter(F.col(size) > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    keys, part_rows = list(keys), part_rows or PART_ROWS
+    parts = F.ceil(F.col(size) / F.lit(part_rows)).cast("int")
+    large = groups if sizes is None else sizes
+    large = large.filter(F.col(size) > part_rows).select(*keys, parts.alias("_parts"))
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.coalesce("_hot", no_key), salt).otherwise(F.lit(0))
+    dealt = F.xxhash64(*spread)
+    salt = (
+        F.when(F.col("_parts").isNotNull(), F.pmod(dealt, F.col("_parts")))
+        .when(no_key, F.pmod(dealt, F.lit(1 << 30)))
+        .otherwise(F.lit(0))
     )
+    salted = rows.join(F.broadcast(large), keys, "left").withColumn("_salt", salt.cast("int"))
     copies = groups.withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col(size) > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+        "_salt", F.explode(F.sequence(F.lit(0), F.greatest(parts - 1, F.lit(0))))
     )
-    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt", "_hot", size)
+    added = [c for c in groups.columns if c not in (*keys, size)]
+    return salted.join(copies, [*keys, "_salt"], "left").select(*rows.columns, *added)
 
 
 def attach_group(
@@ -64,12 +66,3 @@ def attach_group(
         known = known.filter(F.col(k).isNotNull())
     groups = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"), *values)
     return join_back(rows, groups, keys, spread, **options)
-
-
-def spread_join(
-    rows: DataFrame, small: DataFrame, keys: Sequence[str], spread: Sequence[str], salts: int = SALTS
-) -> DataFrame:
-    """Left join with a table that is far smaller than ``rows``, every key split over the salts."""
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"], "left").drop("_salt")

@@ -68,7 +68,10 @@ def finalize(
         label_of_rank(F.max("_rank")).alias("_id_sex"),
     )
     facts = per_side.drop("_biopsies", "_rank").join(per_id, "id")
-    filled = join_back(rows, facts, ["id", "side"], ["photo_seq"])
+    sizes = base.filter(F.col("id").isNotNull()).groupBy("id", "side").agg(
+        F.count(F.lit(1)).alias("group_rows")
+    )
+    filled = join_back(rows, facts, ["id", "side"], ["photo_seq"], sizes=sizes)
     sex = F.coalesce("sex", "_id_sex", F.lit(kw.UNKNOWN)) if single else F.coalesce("sex", F.lit(kw.UNKNOWN))
     biopsy = F.coalesce("biopsy", "_id_biopsy")
     return filled.withColumns(

@@ -70,6 +70,12 @@ register(
     nullif(date_original, '') AS date_original, true AS has_source FROM listing""",
 )
 
+register(
+    "q5_file_status",
+    lambda spark, d: readers.file_status(_folders(spark, d).withColumn("source_file", F.regexp_extract("source_file", "(part[0-9])/[^/]*$", 1))),
+    """SELECT 'part' || photo_seq % 3 AS file, count(*) AS n_rows, 0 AS n_bad, 0 AS n_unnamed FROM listing GROUP BY 1""",
+)
+
 
 def _typed(spark, d):
     parsed = rating_runs.parse_ratings(driver.auto_responses(spark, d)).select(

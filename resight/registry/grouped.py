@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from resight.functions import dates, keywords as kw, text
-from resight.operators import groups as g, joins, scans
+from resight.operators import gates, groups as g, joins, scans
 from resight.operators.order import by_date, by_sequence
 from resight.operators.skew import attach_group
 from resight.plans import annual, base as b, catalogues, finalize, keyword_conflicts as kc, label_history as lh
@@ -25,7 +25,8 @@ def derived(spark, d):
 
 
 def base(spark, d):
-    return b.clean_base(driver.listing(spark, d))
+    """Snapshot of the cleaned listing: the reports and the final tables start from it."""
+    return stored(spark, f"base:{d}", lambda: b.clean_base(driver.listing(spark, d)))
 
 
 def corrections(spark, d):
@@ -562,3 +563,33 @@ register(
     lambda spark, d: base(spark, d).filter("biopsy = 'YES'").select("id").distinct(),
     "SELECT DISTINCT id FROM base WHERE biopsy = 'YES'",
 )
+
+# ---- gates --------------------------------------------------------------------------------
+
+register(
+    "q1_label_conflict_gate",
+    lambda spark, d: gates.label_conflicts(base(spark, d), "id", "sex"),
+    "SELECT id, count(DISTINCT sex) AS n_labels FROM base GROUP BY id HAVING count(DISTINCT sex) > 1",
+)
+register(
+    "q1_known_label_conflicts",
+    lambda spark, d: gates.label_conflicts(base(spark, d), "id", "sex", ignore_unknown=True),
+    "SELECT id, count(DISTINCT sex) AS n_labels FROM base WHERE sex <> 'UNK' GROUP BY id HAVING count(DISTINCT sex) > 1",
+)
+register(
+    "q2_single_value_gate",
+    lambda spark, d: gates.multi_valued(base(spark, d), ["id", "year"], "location"),
+    """SELECT id, year, count(DISTINCT location) AS n_values FROM base GROUP BY id, year HAVING count(DISTINCT location) > 1""",
+)
+register(
+    "q3_unique_key_gate",
+    lambda spark, d: gates.duplicate_keys(base(spark, d), ["id", "side", "date"]),
+    "SELECT id, side, date, count(*) AS n_rows FROM base GROUP BY id, side, date HAVING count(*) > 1",
+)
+
+
+def _required(spark, d):
+    return gates.require_columns(driver.listing(spark, d), ["file_name", "rating"], "listing").select("file_name", "rating")
+
+
+register("q4_required_columns", _required, "SELECT file_name, rating FROM listing")

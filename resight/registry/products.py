@@ -50,7 +50,7 @@ register(
 )
 BASE_COLUMNS = """photo_seq, file_name, id_original, id, date_original, date, keyword, side, qrate, reliable, biopsy, latitude,
     longitude, sex, melon_sex, year, film, location, genetic_sex"""
-register("d5_base_clean_listing", base, f"SELECT {BASE_COLUMNS} FROM base")
+register("d5_base_clean_listing", lambda spark, d: b.clean_base(driver.listing(spark, d)), f"SELECT {BASE_COLUMNS} FROM base")
 register("d6_label_conflicts", gq._conflicts, gq.CONFLICTS)
 register(
     "d6_conflict_photos",

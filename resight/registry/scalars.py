@@ -26,6 +26,13 @@ def derived(*columns):
 
 PUBLISHED = ["photo seq", "File.name", "Title", "Date Original", "Keyword.export", "Rating", "Latitude", "Longitude"]
 
+register(
+    "p1_rename",
+    lambda spark, d: driver.listing(spark, d).select("photo_seq", "date_original", "keyword_export").withColumnsRenamed(
+        {"date_original": "date1", "keyword_export": "keyword"}
+    ),
+    "SELECT photo_seq, date_original AS date1, keyword_export AS keyword FROM listing",
+)
 register(
     "p2_normalise_headers",
     lambda spark, d: readers.normalise_headers(driver.listing(spark, d).toDF(*PUBLISHED)),
@@ -47,6 +54,11 @@ register(
     """SELECT photo_seq, file_name, latitude, CAST(NULL AS VARCHAR) AS longitude,
     CAST(NULL AS VARCHAR) AS date_original FROM listing""",
 )
+register(
+    "p5_keep_present_columns",
+    lambda spark, d: readers.keep_present(driver.listing(spark, d), ["photo_seq", "qrate", "title", "year", "rating"]),
+    "SELECT photo_seq, title, rating FROM listing",
+)
 register(
     "p6_canonical_id",
     listing(lambda: F.col("title"), lambda: ids.canonical_id("title").alias("id"), lambda: ids.id_number("title").alias("id_numeric")),
@@ -295,6 +307,11 @@ register(
     listing(lambda: kw.biopsy_text("keyword_export").alias("biopsy_text")),
     r"""SELECT photo_seq, nullif(regexp_extract(keyword_export, '\b[Bb]iopsy\b[^,;.]*'), '') AS biopsy_text FROM listing""",
 )
+register(
+    "p39_constant_columns",
+    listing(lambda: F.lit("Hyperoodon").alias("encounter_genus"), lambda: F.lit("ampullatus").alias("encounter_specific_epithet")),
+    "SELECT photo_seq, 'Hyperoodon' AS encounter_genus, 'ampullatus' AS encounter_specific_epithet FROM listing",
+)
 LINK = "https://example.org/encounter?number="
 register(
     "p40_links",
@@ -368,6 +385,12 @@ register(
     coalesce(CAST(qrate AS VARCHAR), '—') AS qrate, coalesce(sex, '—') AS sex, coalesce(biopsy, '—') AS biopsy FROM derived""",
 )
 
+register(
+    "p47_export_layout",
+    lambda spark, d: b.derive(driver.listing(spark, d)).select("qrate", "date", "location", "side", "reliable", "sex", "id"),
+    "SELECT qrate, date, location, side, reliable, sex, id FROM derived",
+)
+
 # ---- filters ------------------------------------------------------------------------------
 
 
@@ -382,6 +405,11 @@ register(
     rows(lambda: F.col("id").isNull(), "id_original"),
     "SELECT photo_seq, id_original FROM derived WHERE TRY_CAST(id_original AS BIGINT) IS NULL",
 )
+register(
+    "f4_null_tests",
+    rows(lambda: F.col("date").isNull() | F.col("sex").isNotNull(), "date", "sex"),
+    "SELECT photo_seq, date, sex FROM derived WHERE date IS NULL OR sex IS NOT NULL",
+)
 register(
     "f5_membership",
     lambda spark, d: b.derive(driver.listing(spark, d))
@@ -390,6 +418,14 @@ register(
     """SELECT photo_seq, sex, location FROM derived WHERE sex IN ('FemaleJ', 'MaleM') AND location NOT IN ('Gully', '??')""",
 )
 register("f6_rating_threshold", rows(lambda: F.col("qrate") > 2, "qrate"), "SELECT photo_seq, qrate FROM derived WHERE qrate > 2")
+register(
+    "f7_year_side_date",
+    rows(
+        lambda: ((F.col("year") == 1996) & (F.col("side") == "Left")) | (F.col("date") == F.lit("1997-03-02").cast("date")),
+        "year", "side", "date",
+    ),
+    "SELECT photo_seq, year, side, date FROM derived WHERE (year = 1996 AND side = 'Left') OR date = DATE '1997-03-02'",
+)
 register(
     "f8_numeric_floor",
     rows(lambda: ids.id_number("id_original") >= 1000, "id"),

@@ -163,6 +163,10 @@ def sightings(spark: SparkSession, folder: str) -> DataFrame:
 
 def auto_responses(spark: SparkSession, folder: str) -> DataFrame:
     """One raw rating response per second photo: some unreadable, some in code fences."""
+    return stored(spark, f"responses:{folder}", lambda: _auto_responses(spark, folder))
+
+
+def _auto_responses(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("photo_seq")
     quality = F.floor((k % 8) / 2) + 1
     rating = F.when(k % 23 != 0, quality)

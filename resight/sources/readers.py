@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from resight.functions.text import extension
+from resight.functions.text import base_name, extension
 
 LISTING_COLUMNS = [
     "File.name",
@@ -153,6 +153,16 @@ def read_import_sheets(
     return out
 
 
+def file_status(sheets: DataFrame, name: str = "file_name") -> DataFrame:
+    """Rows, rows that did not fit and rows without a file name, per source file: a bad file shows
+    here and does not stop the others."""
+    return sheets.groupBy(base_name("source_file").alias("file")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("bad_record").alias("n_bad"),
+        F.count_if(F.col(name).isNull()).alias("n_unnamed"),
+    )
+
+
 ENCOUNTER_SCHEMA = T.StructType().add(
     "task",
     T.StructType().add(
