@@ -65,8 +65,10 @@ def strip_hidden(text: Column | str) -> Column:
 
 
 def datetime(text: Column | str) -> Column:
-    """'yyyy-M-d h:m:s' as wall-clock time, null when it does not parse."""
-    return F.try_to_timestamp(F.trim(_col(text)), F.lit("yyyy-M-d H:m:s")).cast("timestamp_ntz")
+    """'yyyy-M-d h:m:s' as wall-clock time, null when it does not parse or lacks a part."""
+    text = F.trim(_col(text))
+    colons = F.length(text) - F.length(F.translate(text, ":", ""))
+    return F.when(colons >= 2, text.try_cast("timestamp_ntz"))
 
 
 def import_datetime(text: Column | str) -> Column:

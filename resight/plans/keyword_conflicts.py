@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resight.functions import dates, keywords as kw
@@ -55,13 +57,13 @@ def _counts(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _in_conflict() -> Column:
+def _in_conflict(count: Callable[[str], Column] = F.col) -> Column:
     """A definite morphology label against the other sex, against unknown, or both at once."""
-    f, m = F.col("n_melon_f") > 0, F.col("n_melon_m") > 0
-    unknown = (F.col("n_melon_unk") > 0) | (F.col("n_sum_unk") > 0)
+    f, m = count("n_melon_f") > 0, count("n_melon_m") > 0
+    unknown = (count("n_melon_unk") > 0) | (count("n_sum_unk") > 0)
     return (
-        (f & (F.col("n_male_keywords") > 0))
-        | (m & (F.col("n_female_keywords") > 0))
+        (f & (count("n_male_keywords") > 0))
+        | (m & (count("n_female_keywords") > 0))
         | (f & m)
         | ((f | m) & unknown)
     )
@@ -72,24 +74,23 @@ def id_conflicts(flagged: DataFrame) -> DataFrame:
 
 
 def conflict_timeline(flagged: DataFrame) -> DataFrame:
-    """All years of the individuals in conflict, each year flagged for itself."""
-    years = _counts(flagged, "id", "year")
-    names = [c for c in years.columns if c.startswith("n_")]
-    totals = years.groupBy("id").agg(*[F.sum(c).alias(c) for c in names])
-    wanted = totals.filter(_in_conflict()).select("id")
-    return (
-        years.filter(F.col("year").isNotNull())
-        .join(wanted, "id", "left_semi")
-        .select(
-            "id",
-            "year",
-            "n_photos",
-            "n_melon_f",
-            "n_melon_m",
-            "n_melon_unk",
-            F.col("n_female_keywords").alias("n_fj"),
-            F.col("n_male_keywords").alias("n_mm"),
-            F.col("n_sum_unk").alias("n_unk"),
-            _in_conflict().alias("year_has_conflict"),
-        )
+    """All years of the individuals in conflict, each year flagged for itself.
+
+    The window sums the yearly counts, a row per year of the individual.
+    """
+    w = Window.partitionBy("id")
+    years = _counts(flagged, "id", "year").withColumns(
+        {"wanted": _in_conflict(lambda c: F.sum(c).over(w)), "year_has_conflict": _in_conflict()}
+    )
+    return years.filter("wanted and year is not null").select(
+        "id",
+        "year",
+        "n_photos",
+        "n_melon_f",
+        "n_melon_m",
+        "n_melon_unk",
+        F.col("n_female_keywords").alias("n_fj"),
+        F.col("n_male_keywords").alias("n_mm"),
+        F.col("n_sum_unk").alias("n_unk"),
+        "year_has_conflict",
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resight.functions import dates, keywords as kw
@@ -213,11 +213,14 @@ def mixed_labels(summary: DataFrame) -> DataFrame:
 
 
 def _mixed_years(photos: DataFrame) -> DataFrame:
-    """(individual, year) rows of the individuals with mixed labels, photos read once."""
-    years = per_year(photos)
-    f, m, u = (F.sum(c) > 0 for c in ("s_f", "s_m", "s_u"))
-    mixed = years.groupBy("id").agg(((f & m) | (u & m) | (u & f)).alias("mixed")).filter("mixed")
-    return years.filter("n_sex > 0 and year is not null").join(mixed.select("id"), "id", "left_semi")
+    """(individual, year) rows of the individuals with mixed labels.
+
+    The window runs over the yearly counts, so it holds as many rows as an individual has years.
+    """
+    w = Window.partitionBy("id")
+    f, m, u = (F.sum(c).over(w) > 0 for c in ("s_f", "s_m", "s_u"))
+    years = per_year(photos).withColumn("mixed", (f & m) | (u & m) | (u & f))
+    return years.filter("mixed and n_sex > 0 and year is not null").drop("mixed")
 
 
 def conflict_years(photos: DataFrame) -> DataFrame:

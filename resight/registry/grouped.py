@@ -34,10 +34,15 @@ def corrections(spark, d):
     return stored(spark, f"corrections:{d}", lambda: finalize.corrections_from_precedence(base(spark, d)))
 
 
-def final(spark, d):
+def finalized(spark, d):
     return finalize.finalize(base(spark, d), corrections(spark, d))
 
 
+def final(spark, d):
+    """Saved final listing: the exports start from it."""
+    return stored(spark, f"final:{d}", lambda: finalized(spark, d))
+
+
 def melon(spark, d):
     return lh.melon_photos(driver.listing(spark, d))
 

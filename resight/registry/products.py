@@ -135,7 +135,7 @@ register(
 )
 register(
     "d12_final_listing",
-    lambda spark, d: final(spark, d).select(
+    lambda spark, d: gq.finalized(spark, d).select(
         "photo_seq", "id", "id_side", "date", "side", "biopsy", "sex", "sex_genetic", "animal_yrs", "qrate", "location"
     ),
     "SELECT photo_seq, id, id_side, date, side, biopsy, sex, sex_genetic, animal_yrs, qrate, location FROM final",

@@ -101,6 +101,7 @@ def read_folder_csvs(
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
+        .option("columnPruning", "false")
         .csv(
             root,
             schema=schema,
@@ -114,7 +115,11 @@ def read_folder_csvs(
 
 
 def csv_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by header line. Reads the first line of each file only."""
+    """Files grouped by header line, for :func:`read_import_sheets`.
+
+    One pass over the text in which only a line per file leaves a task. The result is a list of
+    file names, which the driver holds for any read of these files.
+    """
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
@@ -136,7 +141,8 @@ def read_import_sheets(
     """Sheets with differing headers, one read per header, united by name, gaps as null."""
     frames = []
     for header, paths in sheets.items():
-        part = spark.read.csv(
+        # Without pruning a line of the wrong width is seen whichever columns are asked for.
+        part = spark.read.option("columnPruning", "false").csv(
             list(paths) if not isinstance(paths, str) else paths,
             schema=text_schema(header).add("bad_record", T.StringType()),
             header=True,

@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from resight.functions.text import stem
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Parquet between cleaning and later steps; partition by year for year filters."""
+def write_snapshot(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ("photo_seq",)
+) -> None:
+    """Parquet between cleaning and later steps; partition by year for year filters.
+
+    Rows are range-partitioned by (partition columns, ``cluster_by``) first: a task then writes to
+    one or two partitions instead of to all, and a year with very many rows is still cut into many
+    tasks. ``cluster_by`` should be unique, or nearly so.
+    """
     if partition_by:
-        # Rows of one partition value stay spread over tasks: no repartition by that value.
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        ranged = df.repartitionByRange(*partition_by, *cluster_by)
+        ranged.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -37,7 +44,10 @@ def write_ids(df: DataFrame, column: str, path: str) -> None:
 
 
 def write_per_source(df: DataFrame, folder: str, source: str = "source_file") -> tuple[str, str]:
-    """One output per input file (a folder each) and one compiled output."""
+    """One output per input file (a folder each) and one compiled output.
+
+    A task reads few input files, so it writes to few folders without a shuffle.
+    """
     per_file, compiled = f"{folder}/per_file", f"{folder}/compiled"
     named = df.withColumn("source", stem(source)).drop(source)
     named.write.mode("overwrite").partitionBy("source").option("header", True).csv(per_file)

@@ -117,6 +117,14 @@ def test_import_datetime(spark):
     ]
 
 
+def test_datetime_needs_all_parts(spark):
+    t = dt.datetime
+    values = ["2025-07-14 13:05:22", " 2025-7-4 1:02:03 ", "2025-07-14", "2025-07-14 13:05", "", None, "x:y:z"]
+    assert apply(spark, values, dates.datetime) == [
+        t(2025, 7, 14, 13, 5, 22), t(2025, 7, 4, 1, 2, 3), None, None, None, None, None,
+    ]
+
+
 def test_wall_micros_ignores_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:

@@ -318,7 +318,7 @@ def test_exports_round_trip(spark, tmp_path):
     assert sorted(map(tuple, readers.read_typed_csv(spark, path, "id string, v string").collect())) == [("1", None), ("2", "x")]
     writers.write_ids(df, "id", str(tmp_path / "ids"))
     assert sorted(r[0] for r in spark.read.text(str(tmp_path / "ids")).collect()) == ["1", "2"]
-    writers.write_snapshot(df.withColumn("year", F.lit(2001)), str(tmp_path / "snap"), ["year"])
+    writers.write_snapshot(df.withColumn("year", F.lit(2001)), str(tmp_path / "snap"), ["year"], ["id"])
     assert readers_count(spark, tmp_path) == 2
 
 
