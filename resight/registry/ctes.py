@@ -15,7 +15,7 @@ SELECT k AS photo_seq,
     CASE WHEN c % 3 = 0 AND s = 'F' THEN 'Melon_F' WHEN c % 3 = 1 AND s = 'F' THEN 'Melon_M'
          WHEN c % 6 = 2 AND s = 'F' THEN 'Melon_F' WHEN c % 6 = 2 AND s = 'O' THEN 'Melon_M'
          WHEN c % 6 = 2 THEN 'Melon_UNK' END,
-    CASE WHEN k % 4 = 0 THEN CASE WHEN c % 5 < 3 THEN 'Sum_F' WHEN c % 5 = 3 THEN 'Sum_M' ELSE 'Sum_UNK' END END,
+    CASE WHEN k % 4 = 0 THEN CASE WHEN a < 3 THEN 'Sum_F' WHEN a = 3 THEN 'Sum_M' ELSE 'Sum_UNK' END END,
     CASE WHEN k % 17 = 0 THEN 'F2' END,
     CASE WHEN k % 19 = 0 THEN 'M3' END,
     CASE WHEN k % 41 = 0 THEN CASE WHEN c % 3 = 0 THEN 'biopsy-Female' WHEN c % 3 = 1 THEN 'biopsy-Male' ELSE 'biopsy' END END,
@@ -32,7 +32,8 @@ SELECT k AS photo_seq,
   CASE WHEN k % 53 = 0 THEN '' ELSE CAST(CAST(4350 + k % 100 AS DOUBLE) / 100 AS VARCHAR) END AS latitude,
   CASE WHEN k % 53 = 0 THEN '' ELSE CAST(CAST(-5920 + k % 150 AS DOUBLE) / 100 AS VARCHAR) END AS longitude
 FROM (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s, o_orderdate AS d,
-        year(o_orderdate) AS y, substr(o_orderpriority, 1, 1) AS p FROM orders)
+        year(o_orderdate) AS y, substr(o_orderpriority, 1, 1) AS p,
+        (o_custkey + year(o_orderdate) + CASE WHEN o_orderkey % 12 = 8 THEN 3 ELSE 0 END) % 5 AS a FROM orders)
 """,
 )
 
@@ -217,7 +218,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 cte(
     "encounters",
     """
-SELECT *, sum(CASE WHEN gap_minutes IS NULL OR gap_minutes > 30 THEN 1 ELSE 0 END)
+SELECT *, count(*) FILTER (WHERE gap_minutes IS NULL OR gap_minutes > 30)
     OVER (PARTITION BY id ORDER BY datetime, event_id ROWS UNBOUNDED PRECEDING) AS encounter_id
 FROM sighted
 """,
