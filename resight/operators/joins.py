@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resight.operators.gates import require_unique
-from resight.operators.skew import join_back
+from resight.operators.skew import group_sizes, join_back
 
 BROADCAST_ROWS = 200_000  # checked by a count; a correction is a few short texts
 
@@ -66,8 +66,8 @@ def apply_corrections(
     if hit.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         joined = rows.join(F.broadcast(hit), on, "left")
     else:
-        sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("group_rows"))
-        joined = join_back(rows, hit.join(sizes, on), on, spread, sizes=sizes.dropna(subset=on))
+        sizes = group_sizes(rows, on)
+        joined = join_back(rows, hit.join(sizes, on), on, spread, sizes=sizes)
     return joined.withColumn(
         column, F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column))
     ).select(*rows.columns)

@@ -1,8 +1,9 @@
 """Operators that walk a group in order: fills, gaps, sessions, running counts.
 
-A plain ``partitionBy(id)`` window would put every row of an individual into one task. Here each
-group is cut into blocks (see :mod:`resight.operators.order`); a window runs inside a block, one
-small row per block carries the state forward, and blocks are walked level by level.
+A plain ``partitionBy(id)`` window would put every row of an individual into one task. Here a
+large group is cut into blocks (see :mod:`resight.operators.order`); a window runs inside a block,
+one small row per block carries the state forward, and blocks are walked level by level. A group
+that fits a task is one block and needs no carrying.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from resight.functions.dates import wall_micros
 from resight.operators.order import Order, by_sequence
-from resight.operators.skew import join_back
+from resight.operators.skew import group_sizes, join_back, mark_large
 
 _MINUTE = 60_000_000  # microseconds
 _DAY = 1440 * _MINUTE
@@ -66,15 +67,13 @@ def fill_group(
     if direction not in ("down", "up", "downup", "updown"):
         raise ValueError(f"unknown fill direction: {direction}")
     out = out or value
-    up = direction.startswith("up")
-    names = [f"_block{i}" for i in range(len(order.levels))]
-    cut = rows.withColumns(dict(zip(names, order.levels)))
+    up, both = direction.startswith("up"), direction in ("downup", "updown")
+    cut, names = _cut(rows, key, order)
 
-    has_value = F.col(value).isNotNull()
-    at = F.when(has_value, order.key())
+    at = F.when(F.col(value).isNotNull(), order.key())
     nearest, farthest = (F.min_by, F.max_by) if up else (F.max_by, F.min_by)
     blocks = (
-        cut.filter(F.col(key).isNotNull())
+        cut.filter(F.col("_parts").isNotNull())
         .groupBy(key, *names)
         .agg(nearest(value, at).alias("v"), farthest(value, at).alias("head"))
     )
@@ -83,19 +82,30 @@ def fill_group(
     )
 
     inside = Window.partitionBy(key, *names).orderBy(*(order.descending() if up else order.ascending()))
-    local = cut.withColumn("_local", F.last(value, ignorenulls=True).over(inside.rowsBetween(*_UP_TO)))
-    filled = [F.col("_local"), F.col("_carried")]
-    if direction in ("downup", "updown"):
-        # Only rows before the first value are still empty, and that value is what they get.
-        filled.append(F.col("_head"))
-    new = F.when(F.col(key).isNull(), F.col(value)).otherwise(F.coalesce(*filled))
+    filled = cut.withColumn("_local", F.last(value, ignorenulls=True).over(inside.rowsBetween(*_UP_TO)))
+    steps = [F.col("_local"), F.col("_carried")]
+    if both:
+        # Only rows before the first value of the group are still empty, and that value is what
+        # they get: found by the window in a one-block group, carried along in a cut one.
+        filled = filled.withColumn("_first", F.first(value, ignorenulls=True).over(inside.rowsBetween(*_ALL)))
+        steps.append(F.when(F.col("_parts").isNull(), F.col("_first")).otherwise(F.col("_head")))
+    new = F.when(F.col(key).isNull(), F.col(value)).otherwise(F.coalesce(*steps))
     return (
-        local.join(carried, [key, *names], "left")
+        filled.join(carried, [key, *names], "left")
         .withColumn(out, new)
         .select(*dict.fromkeys([*rows.columns, out]))
     )
 
 
+def _cut(rows: DataFrame, key: str, order: Order) -> tuple[DataFrame, list[str]]:
+    """Block columns: those of the order for large groups and for rows without a key, else zero."""
+    names = [f"_block{i}" for i in range(len(order.levels))]
+    marked = mark_large(rows, [key], group_sizes(rows, [key]))
+    split = F.col("_parts").isNotNull() | F.col(key).isNull()
+    levels = [F.when(split, level).otherwise(F.lit(0)).cast("bigint") for level in order.levels]
+    return marked.withColumns(dict(zip(names, levels))), names
+
+
 def _bucketed(rows: DataFrame, ts: str, bucket_minutes: int) -> DataFrame:
     """Cut time at most ``bucket_minutes`` wide and never across midnight."""
     micros = wall_micros(ts)
@@ -139,15 +149,14 @@ def session_buckets(rows: DataFrame, key: str, ts: str, gap_minutes: int = 30) -
 
 def running_number(rows: DataFrame, key: str, order: Order, out: str) -> DataFrame:
     """Position of each row in its group (1, 2, ...), walked block by block."""
-    names = [f"_block{i}" for i in range(len(order.levels))]
-    cut = rows.withColumns(dict(zip(names, order.levels)))
+    cut, names = _cut(rows, key, order)
     inside = Window.partitionBy(key, *names).orderBy(*order.ascending())
-    sizes = cut.groupBy(key, *names).agg(F.count(F.lit(1)).alias("n"))
+    sizes = cut.filter(F.col("_parts").isNotNull()).groupBy(key, *names).agg(F.count(F.lit(1)).alias("n"))
     offsets = _offsets(sizes, key, names).select(key, *names, "before")
     return (
         cut.withColumn("_local", F.row_number().over(inside))
         .join(offsets, [key, *names], "left")
-        .withColumn(out, F.col("_local") + F.col("before"))
+        .withColumn(out, F.col("_local") + F.coalesce("before", F.lit(0)))
         .select(*rows.columns, out)
     )
 
@@ -202,8 +211,15 @@ def gap_to_previous(rows: DataFrame, key: str, ts: str, seq: str, bucket_minutes
     instants = timed.groupBy(key, ts).agg(
         F.min(seq).alias("_first_seq"), F.count(F.lit(1)).alias("group_rows")
     )
-    cut = _bucketed(instants, ts, bucket_minutes)
-    ends = cut.groupBy(key, "_day", "_bucket").agg(F.max("_micros").alias("_end"))
+    marked = mark_large(instants, [key], group_sizes(instants, [key]))
+    large = F.col("_parts").isNotNull()
+    cut = _bucketed(marked, ts, bucket_minutes).withColumns(
+        {
+            "_day": F.when(large, F.col("_day")).otherwise(F.lit("1970-01-01").cast("date")),
+            "_bucket": F.when(large, F.col("_bucket")).otherwise(F.lit(0)),
+        }
+    )
+    ends = cut.filter(large).groupBy(key, "_day", "_bucket").agg(F.max("_micros").alias("_end"))
     before = ends.select(
         key,
         "_day",

@@ -12,27 +12,45 @@ from pyspark.sql import functions as F
 PART_ROWS = 4_000_000
 
 
+def group_sizes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per group with a known key, as ``group_rows``."""
+    for k in keys:
+        rows = rows.filter(F.col(k).isNotNull())
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
+
+
+def _parts(part_rows: int) -> Column:
+    return F.ceil(F.col("group_rows") / F.lit(part_rows)).cast("int")
+
+
+def mark_large(
+    rows: DataFrame, keys: Sequence[str], sizes: DataFrame, part_rows: int | None = None
+) -> DataFrame:
+    """Add ``_parts``: the number of parts of a large group, null for all other rows."""
+    part_rows = part_rows or PART_ROWS
+    large = sizes.filter(F.col("group_rows") > part_rows)
+    return rows.join(
+        F.broadcast(large.select(*keys, _parts(part_rows).alias("_parts"))), list(keys), "left"
+    )
+
+
 def join_back(
     rows: DataFrame,
     groups: DataFrame,
     keys: Sequence[str],
     spread: Sequence[str],
-    size: str = "group_rows",
     sizes: DataFrame | None = None,
     part_rows: int | None = None,
 ) -> DataFrame:
     """Left join of one row per group onto the detail rows.
 
-    ``groups[size]`` is the number of detail rows of the group. A group of n parts has its detail
-    rows dealt over n salts by a hash of the ``spread`` columns and its group row repeated n
+    ``groups.group_rows`` is the number of detail rows of the group. A group of n parts has its
+    detail rows dealt over n salts by a hash of the ``spread`` columns and its group row repeated n
     times, so no task gets more than a part of it. Rows with a null key match nothing and are
     spread freely. Where ``groups`` comes from a long plan, ``sizes`` may give the same counts
     more cheaply.
     """
     keys, part_rows = list(keys), part_rows or PART_ROWS
-    parts = F.ceil(F.col(size) / F.lit(part_rows)).cast("int")
-    large = groups if sizes is None else sizes
-    large = large.filter(F.col(size) > part_rows).select(*keys, parts.alias("_parts"))
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
@@ -42,11 +60,11 @@ def join_back(
         .when(no_key, F.pmod(dealt, F.lit(1 << 30)))
         .otherwise(F.lit(0))
     )
-    salted = rows.join(F.broadcast(large), keys, "left").withColumn("_salt", salt.cast("int"))
-    copies = groups.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.greatest(parts - 1, F.lit(0))))
-    )
-    added = [c for c in groups.columns if c not in (*keys, size)]
+    marked = mark_large(rows, keys, groups if sizes is None else sizes, part_rows)
+    salted = marked.withColumn("_salt", salt.cast("int"))
+    last = F.greatest(_parts(part_rows) - 1, F.lit(0))
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+    added = [c for c in groups.columns if c not in (*keys, "group_rows")]
     return salted.join(copies, [*keys, "_salt"], "left").select(*rows.columns, *added)
 
 

@@ -17,7 +17,7 @@ from resight.operators.groups import (
 from resight.operators.joins import apply_corrections
 from resight.operators.order import by_date
 from resight.operators.scans import fill_group
-from resight.operators.skew import attach_group, join_back
+from resight.operators.skew import attach_group, group_sizes, join_back
 
 DATE_ORDER = by_date("date", "photo_seq")
 
@@ -68,9 +68,7 @@ def finalize(
         label_of_rank(F.max("_rank")).alias("_id_sex"),
     )
     facts = per_side.drop("_biopsies", "_rank").join(per_id, "id")
-    sizes = base.filter(F.col("id").isNotNull()).groupBy("id", "side").agg(
-        F.count(F.lit(1)).alias("group_rows")
-    )
+    sizes = group_sizes(base, ["id", "side"])
     filled = join_back(rows, facts, ["id", "side"], ["photo_seq"], sizes=sizes)
     sex = F.coalesce("sex", "_id_sex", F.lit(kw.UNKNOWN)) if single else F.coalesce("sex", F.lit(kw.UNKNOWN))
     biopsy = F.coalesce("biopsy", "_id_biopsy")

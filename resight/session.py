@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -51,8 +52,12 @@ def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> Da
     """
     key = f"resight.stored.{name}"
     path = spark.conf.get(key, None)
-    if not path:
-        path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
-        build().write.parquet(path)
-        spark.conf.set(key, path)
+    if path:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:  # the scratch folder was cleared meanwhile
+            pass
+    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    build().write.parquet(path)
+    spark.conf.set(key, path)
     return spark.read.parquet(path)
