@@ -201,7 +201,7 @@ def sessionize(
     return timed.unionByName(numbered)
 
 
-def gap_to_previous(rows: DataFrame, key: str, ts: str, seq: str, bucket_minutes: int = 30) -> DataFrame:
+def gap_to_previous(rows: DataFrame, key: str, ts: str, seq: str, bucket_minutes: int = 5) -> DataFrame:
     """Minutes since the previous record of the key (``gap_minutes``), null for the first one.
 
     Records of one key at the same instant are reduced to one row before the window, so a burst

@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from resight.functions.text import base_name
-from resight.plans import imports, rating_runs
+from resight.plans import exports, imports, rating_runs
 from resight.registry import products as pr
 from resight.registry.core import register
-from resight.registry.grouped import base
+from resight.registry.grouped import base, final
 from resight.session import scratch_dir
 from resight.sources import driver, readers, writers
 
@@ -137,6 +137,28 @@ def _export(spark, d):
 register("s6_csv_export", _export, "SELECT id, date, side, sex, qrate FROM base")
 
 
+def _exports(spark, d):
+    """Every export written, read back and counted."""
+    paths = exports.write_exports(final(spark, d), "2025_01", fresh(spark, "analysis"))
+    parts = [
+        spark.read.csv(path, header=True).agg(F.lit(name).alias("export"), F.count(F.lit(1)).alias("n_rows"))
+        for name, path in paths.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+register(
+    "g5_write_exports",
+    _exports,
+    """SELECT 'id_sex_primary_yrs' AS export, count(DISTINCT id_side) AS n_rows FROM final
+    UNION ALL SELECT 'id_sex_master', count(DISTINCT id_side) FROM final UNION ALL SELECT 'social_photos', count(*) FROM final
+    UNION ALL SELECT 'social_supplement', count(DISTINCT id) FROM final UNION ALL SELECT 'simple_photos', count(*) FROM final""",
+)
+
+
 def _id_list(spark, d):
     path = fresh(spark, "ids")
     writers.write_ids(base(spark, d).select("id").distinct(), "id", path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from resight.operators import gates
 from resight.plans import (
-    annual, base, catalogues, finalize, imports, keyword_conflicts as kc, label_history as lh, label_qa,
+    annual, base, catalogues, exports, finalize, imports, keyword_conflicts as kc, label_history as lh, label_qa,
     metadata, rating_runs, renames, stats,
 )
 from resight.sources import readers, writers
@@ -322,6 +322,20 @@ def test_exports_round_trip(spark, tmp_path):
     assert readers_count(spark, tmp_path) == 2
 
 
+def test_published_names_and_empty_reports(spark, tmp_path):
+    final = finalize.finalize(base.clean_base(listing(spark, [("1", "2001-01-01", "Left, Notch"), ("1", "2003-01-01", "Left")])))
+    paths = exports.write_exports(final, "v9", str(tmp_path))
+    assert all(p.endswith("_v9") for p in paths.values())
+    row = spark.read.csv(paths["id_sex_primary_yrs"], header=True).first().asDict()
+    assert row == {
+        "ID_numeric": "1", "ID.side": "1-LEFT", "Melon_Sex": "UNK", "Sex_genetic": "UNK", "YEAR1": "2001", "YEARLAST": "2003", "ANIMAL_YRS": "3", "N_Photos": "2",
+    }
+    assert spark.read.csv(paths["id_sex_master"], header=True).first()["ANIMAL_YRS"] == "2"  # older span excludes the first year
+    assert spark.read.csv(paths["social_supplement"], header=True).columns == ["ID", "Sex", "Reliable"]
+    reports = {"some": final, "none": final.filter("false")}
+    assert list(exports.write_reports(reports, "v9", str(tmp_path))) == ["some"]
+
+
 def readers_count(spark, tmp_path):
     return writers.read_snapshot(spark, str(tmp_path / "snap")).filter("year = 2001").count()
 
