@@ -33,12 +33,28 @@ def many_to_one(
     return null_safe(left, right, keys)
 
 
-def ids_present(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    return rows.join(ids.select(key), key, "left_semi")
+def ids_present(rows: DataFrame, ids: DataFrame, key: str, spread: Sequence[str]) -> DataFrame:
+    """Rows whose ID is in the list (semi join), large individuals split over tasks."""
+    sizes = group_sizes(rows, [key])
+    wanted = sizes.join(ids.select(key).distinct(), key, "left_semi").withColumn("_wanted", F.lit(True))
+    return join_back(rows, wanted, [key], spread, sizes=sizes).filter("_wanted").drop("_wanted")
 
 
 def ids_missing(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    return rows.join(ids.select(key), key, "left_anti")
+    """IDs that the other side lacks (anti join); ``rows`` is a list of IDs, not of records."""
+    return rows.join(ids.select(key).distinct(), key, "left_anti")
+
+
+# Set operations reduce both sides to distinct IDs before the join they become, so the records of
+# one individual shrink to a row in the task that reads them. Null counts as a value.
+
+
+def id_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    return left.select(key).distinct().subtract(right.select(key).distinct())
+
+
+def id_intersection(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    return left.select(key).distinct().intersect(right.select(key).distinct())
 
 
 def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:

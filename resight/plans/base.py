@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from resight.functions import dates, ids, keywords as kw, ratings
 from resight.operators.groups import first_distinct_text, first_value
-from resight.operators.joins import null_safe
+from resight.operators.joins import ids_present, null_safe
 from resight.operators.order import by_sequence
 
 FILE_ORDER = by_sequence("photo_seq")
@@ -93,9 +93,9 @@ def biopsied_without_genetic_label(base: DataFrame) -> DataFrame:
         .agg(F.count("biopsy").alias("b"), F.count("genetic_sex").alias("g"))
         .filter("b > 0 and g = 0")
     )
+    biopsied = base.filter(F.col("biopsy").isNotNull())
     return (
-        base.filter(F.col("biopsy").isNotNull())
-        .join(unresolved.select("id"), "id", "left_semi")
+        ids_present(biopsied, unresolved, "id", ["photo_seq"])
         .groupBy("id", "sex", "melon_sex")
         .agg(
             F.count(F.lit(1)).alias("n_photos"),

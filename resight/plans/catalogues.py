@@ -16,6 +16,7 @@ from resight.operators.groups import (
     label_rank,
     repeated_groups,
 )
+from resight.operators.joins import ids_missing
 from resight.operators.order import by_sequence
 from resight.operators.scans import fill_group
 from resight.sources.readers import find_columns
@@ -243,6 +244,4 @@ def evidence_by_month(found: DataFrame) -> DataFrame:
 def missing_evidence(found: DataFrame, catalogue: DataFrame, year: int) -> DataFrame:
     """Individuals with evidence in the sheet for the year but none in the catalogue."""
     have = catalogue.filter((F.col("year") == year) & (F.col("biopsy") == "YES")).select("id")
-    return (
-        found.filter(F.col("id").isNotNull()).select("id").distinct().join(have, "id", "left_anti")
-    )
+    return ids_missing(found.filter(F.col("id").isNotNull()).select("id").distinct(), have, "id")

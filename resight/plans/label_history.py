@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resight.functions import dates, keywords as kw
+from resight.operators.joins import ids_present
 
 LABELS = {"f": kw.FEMALE, "m": kw.MALE, "u": kw.UNKNOWN}
 
@@ -269,19 +270,12 @@ def conflict_patterns(photos: DataFrame) -> DataFrame:
 
 
 def conflict_details(photos: DataFrame) -> DataFrame:
-    mixed = _mixed_ids(photos)
-    return (
-        photos.filter(F.col("sex").isNotNull())
-        .join(mixed, "id", "left_semi")
-        .select("id", "year", "photo_type", "sex", "keyword")
-    )
-
-
-def _mixed_ids(photos: DataFrame) -> DataFrame:
-    kinds = photos.filter(F.col("sex").isNotNull()).groupBy("id").agg(
-        F.count_distinct("sex").alias("kinds")
+    """Labelled photos of the individuals with mixed labels."""
+    labelled = photos.filter(F.col("sex").isNotNull())
+    kinds = labelled.groupBy("id").agg(F.count_distinct("sex").alias("kinds")).filter("kinds > 1")
+    return ids_present(labelled, kinds, "id", ["photo_seq"]).select(
+        "id", "year", "photo_type", "sex", "keyword"
     )
-    return kinds.filter("kinds > 1").select("id")
 
 
 def review_tables(summary: DataFrame) -> DataFrame:

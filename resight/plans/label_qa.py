@@ -63,7 +63,7 @@ def label_conflicts(base: DataFrame) -> DataFrame:
 
 def conflict_photos(base: DataFrame) -> DataFrame:
     """Every photo of the individuals with conflicting labels."""
-    return ids_present(base, label_conflicts(base), "id").select(*DETAIL)
+    return ids_present(base, label_conflicts(base), "id", ["photo_seq"]).select(*DETAIL)
 
 
 def label_timeline(base: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def evidence_overlap(base: DataFrame) -> DataFrame:
 def problem_ids(base: DataFrame) -> DataFrame:
     """Labelled without morphology and never biopsied: where does the label come from?"""
     bad = evidence_overlap(base).filter("overlap = 'no_melon_not_biopsied'")
-    rows = base.join(bad.select("id"), "id", "left_semi")
+    rows = ids_present(base, bad, "id", ["photo_seq"])
     counts = rows.groupBy("id").agg(
         first_value("sex", FILE_ORDER, kw.known("sex")).alias("sex"),
         F.count(F.lit(1)).alias("n_photos"),

@@ -97,7 +97,7 @@ register(
 register(
     "j5_semi_join",
     lambda spark, d: joins.ids_present(
-        base(spark, d).select("photo_seq", "id"), base(spark, d).filter("biopsy = 'YES'"), "id"
+        base(spark, d).select("photo_seq", "id"), base(spark, d).filter("biopsy = 'YES'"), "id", ["photo_seq"]
     ),
     "SELECT photo_seq, id FROM base WHERE id IN (SELECT id FROM base WHERE biopsy = 'YES')",
 )
@@ -555,12 +555,12 @@ register(
 )
 register(
     "u2_id_difference",
-    lambda spark, d: pair(spark, d)[0].select("id").subtract(pair(spark, d)[1].select("id")),
+    lambda spark, d: joins.id_difference(*pair(spark, d), "id"),
     "SELECT id FROM catalogue WHERE photo_seq % 3 <> 0 EXCEPT SELECT id FROM catalogue WHERE photo_seq % 3 <> 1",
 )
 register(
     "u3_id_intersection",
-    lambda spark, d: pair(spark, d)[0].select("id").intersect(pair(spark, d)[1].select("id")),
+    lambda spark, d: joins.id_intersection(*pair(spark, d), "id"),
     "SELECT id FROM catalogue WHERE photo_seq % 3 <> 0 INTERSECT SELECT id FROM catalogue WHERE photo_seq % 3 <> 1",
 )
 register(

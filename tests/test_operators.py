@@ -220,6 +220,21 @@ def test_corrections(spark, rows, monkeypatch, limit):
     assert {r["photo_seq"]: r["sex"] for r in out.collect()} == {r[0]: table.get((r[1], r[3]), r[3]) for r in rows}
 
 
+def test_ids_present(spark, rows, blocks):
+    ids = spark.createDataFrame([("hot",), ("a",), ("a",), (None,), ("zz",)], "id string")
+    out = joins.ids_present(frame(spark, rows), ids, "id", ["photo_seq"])
+    assert sorted(r["photo_seq"] for r in out.collect()) == [r[0] for r in rows if r[1] in ("hot", "a")]
+    assert out.columns == ["photo_seq", "id", "date", "sex"]
+
+
+def test_id_sets(spark):
+    a = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "id string")
+    b = spark.createDataFrame([("y",), ("z",), (None,)], "id string")
+    both = {r["id"] for r in joins.id_intersection(a, b, "id").collect()}
+    only = {r["id"] for r in joins.id_difference(a, b, "id").collect()}
+    assert both == {"y", None} and only == {"x"} and both | only == {r["id"] for r in a.collect()}
+
+
 def test_first_match(spark):
     targets = spark.createDataFrame([("x",), ("y",), (None,)], "key string")
     files = spark.createDataFrame([("x", "x-2"), ("x", "x-1"), (None, "n")], "key string, name string")
