@@ -16,11 +16,12 @@ PLACES = ["Gully", "Haldimand", "Shortland"]
 def pivot_counts(
     rows: DataFrame, keys: Sequence[str], column: str, values: Sequence[str]
 ) -> DataFrame:
-    """Long counts to one column per value; absent combinations are null."""
+    """Long counts to one column per value; absent combinations are null. A group that only has
+    other values keeps its row."""
     cols = [
         F.nullif(F.count_if(F.col(column) == v), F.lit(0)).alias(v.lower()) for v in values
     ]
-    return rows.filter(F.col(column).isin(list(values))).groupBy(*keys).agg(*cols)
+    return rows.groupBy(*keys).agg(*cols)
 
 
 def share_within(rows: DataFrame, group: str, column: str, values: Sequence[str]) -> DataFrame:

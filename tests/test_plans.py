@@ -257,7 +257,7 @@ def test_shares_and_pivots(spark):
     assert by(stats.share_within(df, "place", "rel", ["Yes", "No"]), "place", "yes", "no") == {
         "G": (pytest.approx(1 / 3), pytest.approx(2 / 3)), "H": (None, 1.0), None: (1.0, None),
     }
-    assert by(stats.pivot_counts(df, ["place"], "rel", ["Yes"]), "place", "yes") == {"G": (1,), None: (1,)}
+    assert by(stats.pivot_counts(df, ["place"], "rel", ["Yes"]), "place", "yes") == {"G": (1,), "H": (None,), None: (1,)}
     assert by(stats.share_across(df, "place", ["G", "H"], "rel"), "rel", "g", "h")["No"] == (pytest.approx(2 / 3), 1.0)
 
 
