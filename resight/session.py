@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -34,16 +35,30 @@ def scratch_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables: the shared folder the cluster names in
     ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a fresh local folder made; the
-    session remembers it, so later calls agree.
+    Without one, a session on one machine (``local[...]``) makes a fresh local folder and remembers
+    it. On a cluster that would scatter the files over the executors' disks, so it is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_DIR, None)
     if not shared:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
         shared = tempfile.mkdtemp(prefix="resight-")
         spark.conf.set(_OWN_DIR, shared)
     return shared.rstrip("/")
 
 
+def fresh_path(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Write a table to the scratch folder and read it back: cuts the lineage, survives lost executors."""
+    path = fresh_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A table written once per session to the scratch folder and read back from there.
 
@@ -57,7 +72,7 @@ def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> Da
             return spark.read.parquet(path)
         except AnalysisException:  # the scratch folder was cleared meanwhile
             pass
-    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    path = fresh_path(spark)
     build().write.parquet(path)
     spark.conf.set(key, path)
     return spark.read.parquet(path)
