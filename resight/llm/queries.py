@@ -7,12 +7,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.llm import mixing, quality_rules
+from resight.llm import minhash, mixing, quality_rules
 from resight.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS x FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(x) >= 2 THEN [x[i] || ' ' || x[i + 1] for i in range(1, len(x))]
+    WHEN len(x) = 1 THEN x ELSE [] END)) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), t AS (
+  SELECT doc_id, g, n FROM s JOIN n USING (doc_id)
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p WHERE 100 * c >= 80 * (na + nb - c)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(node, seen) AS (
+  SELECT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a
+), k AS (
+  SELECT node, min(seen) AS component_id FROM r GROUP BY node
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(k.component_id, d.doc_id) AS component_id,
+  coalesce(k.component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k ON k.node = d.doc_id
+"""
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base_failed = ~quality_rules.passes(quality_rules.BASE)
     return quality_rules.ledger(read(spark, sf_dir, "documents")).select(
@@ -103,10 +136,12 @@ FROM x JOIN b ON x.source IS NOT DISTINCT FROM b.source AND x.turn = b.turn
 """
 
 QUERIES: dict[str, Query] = {
+    "op5_minhash": op5_minhash,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
 }
 ORACLES: dict[str, str] = {
+    "op5_minhash": OP5_SQL,
     "op7_quality_rules": OP7_SQL,
     "op8_mixing": OP8_SQL,
 }
