@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.llm import minhash, mixing, quality_rules
+from resight.llm import minhash, mixing, packing, quality_rules
 from resight.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
 
@@ -136,6 +140,7 @@ FROM x JOIN b ON x.source IS NOT DISTINCT FROM b.source AND x.turn = b.turn
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
     "op5_minhash": op5_minhash,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
