@@ -50,8 +50,8 @@ def ranked_sources(per_source: DataFrame) -> DataFrame:
         per_source.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id())
     )
     counts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.alias("a").join(counts.alias("b"), F.col("b.part") < F.col("a.part"), "left")
-    offsets = before.groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("offset"))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range, not per source
+    offsets = counts.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())
     return (
         ranged.withColumn("i", F.row_number().over(inside) - 1)

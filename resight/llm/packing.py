@@ -156,28 +156,31 @@ def _fill(left: np.ndarray, sizes: np.ndarray, capacity: int, bits: int) -> np.n
         room -= int(sizes[k])
 
 
-def _start(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _start(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray, float]]:
     """A feasible basis: full patterns, each used until one of its classes is used up.
 
     Ordered by the class each uses up, the patterns form a triangular matrix, so they are independent.
     """
-    left, open_, basis, x = demand.astype(float), np.ones(len(sizes), bool), [], []
+    left, open_, basis = demand.astype(float), np.ones(len(sizes), bool), []
     while open_.any():
         at = np.flatnonzero(open_)
-        bits = _reachable(sizes[at], capacity)
-        pattern = _fill(np.where(open_, capacity, 0), sizes, capacity, bits)
+        pattern = _fill(np.where(open_, capacity, 0), sizes, capacity, _reachable(sizes[at], capacity))
         some = np.flatnonzero(pattern)
-        n = float((left[some] / pattern[some]).min())
-        left[some] -= n * pattern[some]
-        done = [k for k in some if left[k] <= 1e-9]
-        basis.append(pattern)
-        x.append(n)
-        for k in done[1:]:
-            basis.append(np.eye(1, len(sizes), k, dtype=np.int64)[0])
-            x.append(0.0)
-        left[done] = 0
+        ratio = left[some] / pattern[some]
+        n = float(ratio.min())
+        left[some] = np.where(ratio <= n, 0, left[some] - n * pattern[some])
+        done = [int(k) for k in some if left[k] <= 1e-9]
+        basis.append((done[0], pattern, n))
+        basis += [(k, np.eye(1, len(sizes), k, dtype=np.int64)[0], 0.0) for k in done[1:]]
         open_[done] = False
-    return basis, np.array(x)
+    return basis
+
+
+def _pivot(inverse: np.ndarray, d: np.ndarray, r: int) -> None:
+    """Bring in the column whose image is ``d`` at row ``r``."""
+    row = inverse[r] / d[r]
+    inverse -= np.outer(d, row)
+    inverse[r] = row
 
 
 def solve(
@@ -193,8 +196,10 @@ def solve(
     m = len(sizes)
     if not m:
         return []
-    basis, x = _start(sizes, demand, capacity)
-    inverse = np.linalg.inv(np.array(basis, float).T)
+    basis, x, inverse = [np.zeros(m, np.int64)] * m, np.zeros(m), np.eye(m)
+    for r, pattern, n in reversed(_start(sizes, demand, capacity)):
+        _pivot(inverse, np.einsum("ij,j->i", inverse, pattern), r)
+        basis[r], x[r] = pattern, n
     bound = float(sizes @ demand) / capacity
     for _ in range(rounds):
         if x.sum() <= bound * (1 + gap):
@@ -209,7 +214,7 @@ def solve(
             column = _pattern(int(first), choice, sizes, capacity)
             if inverse.sum(axis=0) @ column <= 1 + 1e-7:
                 continue
-            d = inverse @ column
+            d = np.einsum("ij,j->i", inverse, column)
             up = d > 1e-9
             if not up.any():
                 continue
@@ -218,9 +223,7 @@ def solve(
             t = ratio[r]
             x = np.maximum(x - t * d, 0)
             x[r] = t
-            row = inverse[r] / d[r]
-            inverse -= np.outer(d, row)
-            inverse[r] = row
+            _pivot(inverse, d, r)
             basis[r] = column
             entered += 1
         if not entered:
