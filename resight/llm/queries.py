@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.llm import minhash, mixing, packing, quality_rules
+from resight.llm import fuzzy_lines, minhash, mixing, packing, quality_rules
 from resight.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,16 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k ON k.node = d.doc_id
 """
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.dedup_lines(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base_failed = ~quality_rules.passes(quality_rules.BASE)
     return quality_rules.ledger(read(spark, sf_dir, "documents")).select(
@@ -142,6 +152,7 @@ FROM x JOIN b ON x.source IS NOT DISTINCT FROM b.source AND x.turn = b.turn
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op5_minhash": op5_minhash,
+    "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
 }
