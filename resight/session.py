@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -59,6 +59,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved_counting(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict[str, object]]:
+    """As :func:`saved`, with aggregates of what was written, taken by the writing job itself."""
+    seen = Observation()
+    out = saved(df.observe(seen, *metrics))
+    return out, seen.get
+
+
 def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A table written once per session to the scratch folder and read back from there.
 
