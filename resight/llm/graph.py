@@ -1,11 +1,16 @@
-"""Connected components by alternating large-star and small-star, as joins and grouped minima."""
+"""Links from buckets of candidates, and connected components of links.
+
+Components come from alternating large-star and small-star, as joins and grouped minima.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from resight.session import saved
+from resight.session import saved, saved_counting
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -28,14 +33,11 @@ def components(edges: DataFrame) -> DataFrame:
     Loops and repeated edges are harmless. Each round is written to the scratch folder; the driver sees
     one fingerprint per round. Rounds grow with the logarithm of the longest path. No edges: no rows.
     """
-    now = saved(
-        edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
-    print_of = F.struct(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).alias("f")
-    seen = now.agg(print_of).first().f
-    while seen.n:
-        now = saved(_small_star(_large_star(now)))
-        new = now.agg(print_of).first().f
+    metrics = F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")
+    undirected = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now, seen = saved_counting(undirected.distinct(), *metrics)
+    while seen["n"]:
+        now, new = saved_counting(_small_star(_large_star(now)), *metrics)
         if new == seen:
             break
         seen = new
@@ -43,3 +45,66 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+SMALL = 8  # members of a bucket that are compared each with each
+ROUNDS = 4
+
+
+def _members_apart(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members with their component ``c``, only of buckets that hold more than one component."""
+    named = members.join(comps, members.id == comps.node, "left").select(
+        *members.columns, F.coalesce("component", "id").alias("c")
+    )
+    mixed = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi")
+    return named.join(mixed.select("bucket"), "bucket")
+
+
+def link_buckets(
+    members: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    near: Callable[[str, str], Column] | None = None,
+    values: tuple[str, ...] = (),
+) -> DataFrame:
+    """Confirmed links (a, b) that connect whatever the candidates of all buckets connect.
+
+    ``members``: (bucket, id, values...), the same id at most once in a bucket. Buckets of up to ``SMALL``
+    members compare each with each. In a larger one, members meet one representative per round, another one
+    each round, and members already connected are left out; what is still apart after ``ROUNDS`` is compared
+    each with each across components. So a large group costs about one pair per member and round, and yet no
+    candidate between different components is left out. ``near`` may reject pairs by the values alone.
+    """
+
+    def pairs(met: DataFrame) -> DataFrame:
+        kept = met.filter(near(*[f for v in values for f in (v, f"{v}2")])) if near else met
+        return kept.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
+
+    def every(rows: DataFrame) -> DataFrame:
+        names = [c for c in ("id", *values, "c") if c in rows.columns]
+        other = rows.select("bucket", *[F.col(c).alias(f"{c}2") for c in names])
+        met = rows.join(other, "bucket").filter("id < id2")
+        return met.filter("c != c2") if "c" in names else met
+
+    def star(rows: DataFrame, turn: int) -> DataFrame:
+        names = [c for c in ("id", *values, "c") if c in rows.columns]
+        order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
+        heads = rows.groupBy("bucket").agg(F.min_by(F.struct(*names), order).alias("head"))
+        met = rows.join(heads, "bucket").select(*rows.columns, *[F.col(f"head.{c}").alias(f"{c}2") for c in names])
+        return met.filter("c != c2") if "c" in names else met.filter("id != id2")
+
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    small = members.join(sizes.filter((F.col("n") > 1) & (F.col("n") <= SMALL)).select("bucket"), "bucket")
+    large, found = saved_counting(
+        members.join(sizes.filter(F.col("n") > SMALL).select("bucket"), "bucket"), F.count(F.lit(1)).alias("n")
+    )
+    first = pairs(every(small))
+    if not found["n"]:
+        return saved(confirm(first))
+    links = saved(confirm(first.union(pairs(star(large, 0)))))
+    for turn in range(1, ROUNDS + 1):
+        apart, found = saved_counting(_members_apart(large, components(links)), F.count(F.lit(1)).alias("n"))
+        if not found["n"]:
+            break
+        met = star(apart, turn) if turn < ROUNDS else every(apart)
+        links = saved(confirm(pairs(met)).union(links))
+    return links

@@ -4,9 +4,8 @@
    class at once (128-bit set hash), so copies are carried as class membership, never as pairs.
 2. ``HASHES`` universal hash minima per class are banded. A pair of Jaccard similarity 0.8 shares no band
    with a chance of (1 - 0.8^6)^40 = 5e-6.
-3. In every bucket the members are compared with one representative per round. Rounds use different
-   representatives and skip whatever is already connected; a last round compares all that is still
-   apart in a common bucket, so no candidate link between different components is left out.
+3. Buckets give candidate pairs (``graph.link_buckets``): large ones by representatives in rounds, so that a
+   group of n near copies costs about n pairs, and no candidate between components is left out.
 4. A candidate must pass the signature estimate and then the exact test on the full sets.
 
 Cases: null or empty text has an empty set, class and component of its own; texts shorter than a shingle
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from resight.llm.graph import components
+from resight.llm.graph import components, link_buckets
 from resight.llm.word_arrays import Words, mix, pieces, utf8
 from resight.session import saved
 
@@ -36,7 +35,6 @@ _RNG = np.random.default_rng(7)
 _A = _RNG.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _WEIGHTS = _RNG.integers(1, 1 << 63, (64,), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ROUNDS = 4
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -146,15 +144,11 @@ def _estimate(pairs: DataFrame) -> DataFrame:
 class _Linker:
     """Candidate pairs in, confirmed links out; sets are only built for documents of candidate pairs."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> None:
-        self.docs, self.classes, self.shingle, self.percent = docs, classes, shingle, percent
-        self.sets: DataFrame | None = None
-
-    def prepare(self, members: DataFrame) -> None:
-        """Write the sets of all documents that share a bucket with another."""
+    def __init__(self, docs: DataFrame, classes: DataFrame, members: DataFrame, shingle: int, percent: int) -> None:
+        self.classes, self.percent = classes, percent
         wanted = members.select("id").distinct()
-        rows = self.docs.join(wanted, self.docs.doc_id == wanted.id, "left_semi")
-        self.sets = saved(full_sets(rows, self.shingle).dropDuplicates(["id"]))
+        rows = docs.join(wanted, docs.doc_id == wanted.id, "left_semi")
+        self.sets = saved(full_sets(rows, shingle).dropDuplicates(["id"]))
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
         signs = self.classes.select("id", "signature")
@@ -171,17 +165,6 @@ class _Linker:
         return likely.join(left, "a").join(right, "b").filter(both * 100 >= union * self.percent).select("a", "b")
 
 
-def _apart(members: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Bucket members with their component, only of buckets that hold more than one component."""
-    if comps is None:
-        return members.withColumn("c", F.col("id"))
-    named = members.join(comps, members.id == comps.node, "left").select(
-        "key", "id", F.coalesce("component", "id").alias("c")
-    )
-    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("key")
-    return named.join(mixed, "key")
-
-
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
     """Per input row: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -191,24 +174,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMI
     classes = saved(
         filled.groupBy("set_hash").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     )
-    banded = classes.select("id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    members = saved(banded.join(shared, "key").select("key", "id"))
-    linker = _Linker(docs, classes, shingle, percent)
-    linker.prepare(members)
-    links, comps, apart = None, None, saved(_apart(members, None))
-    for turn in range(ROUNDS):
-        order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-        heads = apart.groupBy("key").agg(F.min_by(F.struct("id", "c"), order).alias("head"))
-        pairs = apart.join(heads, "key").filter("c != head.c")
-        pairs = pairs.select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"))
-        links, comps, apart = _advance(linker, pairs, links, members)
-        if apart.isEmpty():
-            break
-    else:
-        other = apart.select("key", F.col("id").alias("id2"), F.col("c").alias("c2"))
-        pairs = apart.join(other, "key").filter("id < id2 and c != c2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
-        links, comps, apart = _advance(linker, pairs, links, members)
+    banded = classes.select("id", F.explode("bands").alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    members = saved(banded.join(shared, "bucket").select("bucket", "id"))
+    links = link_buckets(members, _Linker(docs, classes, members, shingle, percent).confirm)
     # equal ids and equal sets also connect: rows of one id are one node
     same = filled.select("doc_id", "set_hash").distinct().join(classes.select("set_hash", "id"), "set_hash")
     edges = links.union(same.filter("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
@@ -221,13 +190,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMI
     )
 
 
-def _advance(linker: _Linker, pairs: DataFrame, links: DataFrame | None, members: DataFrame):
-    new = linker.confirm(pairs)
-    links = saved(new if links is None else new.union(links))
-    comps = saved(components(links))
-    return links, comps, saved(_apart(members, comps))
-
-
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
     """The documents with the smallest id of each component, all columns kept.
 
