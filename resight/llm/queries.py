@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.llm import fuzzy_lines, minhash, mixing, packing, quality_rules
+from resight.llm import fuzzy_lines, minhash, mixing, packing, quality_rules, substrings
 from resight.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,15 +149,48 @@ SELECT x.doc_id, x.size, x.source_size, x.target, ((x.whole + x.extra) * x.size)
 FROM x JOIN b ON x.source IS NOT DISTINCT FROM b.source AND x.turn = b.turn
 """
 
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+OP10_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS x FROM documents
+), g AS (
+  SELECT doc_id, p, sha256(array_to_string(x[p : p + 34], ' ')) AS g
+  FROM (SELECT doc_id, x, unnest(range(1, len(x) - 33)) AS p FROM w WHERE len(x) >= 35)
+), r AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY g) AS n FROM g) WHERE n > 1
+), q AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS q FROM r
+), k AS (
+  SELECT doc_id, list(q) AS q FROM q GROUP BY doc_id
+), m AS (
+  SELECT w.doc_id, len(x) AS n, coalesce(len(k.q), 0) AS c, x,
+    list_distinct(coalesce(k.q, [])) AS q FROM w LEFT JOIN k USING (doc_id)
+), e AS (
+  SELECT doc_id, string_agg(x[i], ' ' ORDER BY i) AS kept
+  FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM w) a
+  WHERE NOT EXISTS (SELECT 1 FROM q b WHERE b.doc_id = a.doc_id AND b.q = a.i) GROUP BY doc_id
+)
+SELECT m.doc_id, n::BIGINT AS n_words, c::BIGINT AS n_removed, sha256(coalesce(e.kept, '')) AS kept_sha256
+FROM m LEFT JOIN e USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op5_minhash": op5_minhash,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES: dict[str, str] = {
     "op5_minhash": OP5_SQL,
     "op7_quality_rules": OP7_SQL,
     "op8_mixing": OP8_SQL,
+    "op10_substring_dedup": OP10_SQL,
 }
