@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.llm import fuzzy_lines, minhash, mixing, packing, quality_rules, substrings
+from resight.llm import fuzzy_lines, language, line_crf, minhash, mixing, packing, quality_rules, substrings
 from resight.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,26 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def _held_out() -> Column:
+    """Rows kept from learning: crc32 of the id's text leaves 1 when divided by 3 (never for a null id)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = line_crf.train(docs.select("doc_id", "text").filter(~_held_out()).join(labels, "doc_id"))
+    return line_crf.score(docs, model).select(
+        "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.train(docs.filter(~_held_out()))
+    return language.identify(docs, model).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score", "spans")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
 
@@ -182,6 +202,8 @@ FROM m LEFT JOIN e USING (doc_id)
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_quality_crf": op2_quality_crf,
+    "op4_language_id": op4_language_id,
     "op5_minhash": op5_minhash,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
