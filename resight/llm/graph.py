@@ -48,7 +48,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 SMALL = 8  # members of a bucket that are compared each with each
-ROUNDS = 4
+ROUNDS = 3
 
 
 def _members_apart(members: DataFrame, comps: DataFrame) -> DataFrame:
@@ -65,14 +65,16 @@ def link_buckets(
     confirm: Callable[[DataFrame], DataFrame],
     near: Callable[[str, str], Column] | None = None,
     values: tuple[str, ...] = (),
+    settle: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Confirmed links (a, b) that connect whatever the candidates of all buckets connect.
 
     ``members``: (bucket, id, values...), the same id at most once in a bucket. Buckets of up to ``SMALL``
     members compare each with each. In a larger one, members meet one representative per round, another one
-    each round, and members already connected are left out; what is still apart after ``ROUNDS`` is compared
-    each with each across components. So a large group costs about one pair per member and round, and yet no
-    candidate between different components is left out. ``near`` may reject pairs by the values alone.
+    each round, and members already connected are left out; what is still apart after ``ROUNDS`` (bucket, id, c) goes to
+    ``settle``, which returns its links, or is compared each with each across components. So a large group costs
+    about one pair per member and round, and yet no candidate between different components is left out. ``near`` may
+    reject pairs by the values alone.
     """
 
     def pairs(met: DataFrame) -> DataFrame:
@@ -105,6 +107,9 @@ def link_buckets(
         apart, found = saved_counting(_members_apart(large, components(links)), F.count(F.lit(1)).alias("n"))
         if not found["n"]:
             break
-        met = star(apart, turn) if turn < ROUNDS else every(apart)
-        links = saved(confirm(pairs(met)).union(links))
+        if turn == ROUNDS and settle:
+            new = settle(apart)
+        else:
+            new = confirm(pairs(star(apart, turn) if turn < ROUNDS else every(apart)))
+        links = saved(new.union(links))
     return links

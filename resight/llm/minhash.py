@@ -5,7 +5,8 @@
 2. ``HASHES`` universal hash minima per class are banded. A pair of Jaccard similarity 0.8 shares no band
    with a chance of (1 - 0.8^6)^40 = 5e-6.
 3. Buckets give candidate pairs (``graph.link_buckets``): large ones by representatives in rounds, so that a
-   group of n near copies costs about n pairs, and no candidate between components is left out.
+   group of n near copies costs about n pairs. Members that stay apart (similar, but below the limit) are compared
+   on their full sets block by block, so no candidate between components is left out.
 4. A candidate must pass the signature estimate and then the exact test on the full sets.
 
 Cases: null or empty text has an empty set, class and component of its own; texts shorter than a shingle
@@ -165,6 +166,49 @@ class _Linker:
         return likely.join(left, "a").join(right, "b").filter(both * 100 >= union * self.percent).select("a", "b")
 
 
+    def settle(self, apart: DataFrame) -> DataFrame:
+        """Links among members that share buckets but were not connected through representatives.
+
+        Members that hang together through buckets form a cluster, cut into blocks; each pair of blocks is one group
+        in which full sets are compared directly, so only links leave the task, never candidate pairs.
+        """
+        heads = apart.groupBy("bucket").agg(F.min("id").alias("b"))
+        clusters = components(apart.join(heads, "bucket").select(F.col("id").alias("a"), "b"))
+        members = apart.select("id", "c").distinct().join(clusters, F.col("id") == F.col("node")).select("id", "c", F.col("component").alias("cluster"))
+        sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(_BLOCK)).cast("int").alias("blocks"))
+        placed = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        rows = placed.join(self.sets, "id").select("cluster", "id", "c", "items", "block", other.alias("other"))
+        return rows.groupBy("cluster", F.least("block", "other"), F.greatest("block", "other")).applyInArrow(
+            _compare(self.percent), "a long, b long"
+        )
+
+
+_BLOCK = 500  # members of a cluster per block
+
+
+def _compare(percent: int):
+    def links(table: pa.Table) -> pa.Table:
+        ids, c = table.column("id").to_numpy(), table.column("c").to_numpy()
+        items = table.column("items").combine_chunks()
+        first = items.offsets.to_numpy() - items.offsets[0].as_py()
+        values = np.unique(items.flatten().to_numpy(), return_inverse=True)[1]
+        size = np.diff(first)
+        names, counts = np.unique(c, return_counts=True)
+        found: list[tuple[int, int]] = []
+        here = np.zeros(int(values.max()) + 1, np.int64)
+        for r in np.flatnonzero(c != names[counts.argmax()]):  # members of the largest component are connected
+            own = values[first[r] : first[r + 1]]
+            here[own] = 1
+            both = np.add.reduceat(here[values], first[:-1])
+            here[own] = 0
+            good = (both * 100 >= (size + size[r] - both) * percent) & (c != c[r])
+            found += [(min(ids[r], x), max(ids[r], x)) for x in ids[good]]
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return links
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
     """Per input row: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -177,7 +221,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMI
     banded = classes.select("id", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     members = saved(banded.join(shared, "bucket").select("bucket", "id"))
-    links = link_buckets(members, _Linker(docs, classes, members, shingle, percent).confirm)
+    linker = _Linker(docs, classes, members, shingle, percent)
+    links = link_buckets(members, linker.confirm, settle=linker.settle)
     # equal ids and equal sets also connect: rows of one id are one node
     same = filled.select("doc_id", "set_hash").distinct().join(classes.select("set_hash", "id"), "set_hash")
     edges = links.union(same.filter("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b")))

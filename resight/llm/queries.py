@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.llm import fuzzy_lines, language, line_crf, minhash, mixing, packing, quality_rules, substrings
+from resight.llm import fuzzy_lines, html_text, language, learned_partitions, line_crf, minhash, mixing, packing, quality_rules, substrings
 from resight.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = language.train(docs.filter(~_held_out()))
@@ -170,6 +174,11 @@ FROM x JOIN b ON x.source IS NOT DISTINCT FROM b.source AND x.turn = b.turn
 """
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract(read(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
@@ -203,11 +212,13 @@ FROM m LEFT JOIN e USING (doc_id)
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_quality_crf": op2_quality_crf,
+    "op3_learned_partitions": op3_learned_partitions,
     "op4_language_id": op4_language_id,
     "op5_minhash": op5_minhash,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_html_text": op9_html_text,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES: dict[str, str] = {
