@@ -17,8 +17,10 @@ empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,9 @@ from resight.session import saved
 LENGTH = 2048
 STEP = 4  # a class holds the lengths of one multiple of STEP and those just below it
 END_ID = 1
-_CACHED = 400_000  # words whose ids a task remembers
+_CACHED = 200_000  # words whose ids a task remembers
 _BLOCKS = 64
+_PIECE_BYTES = 1 << 20
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -41,34 +44,69 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level models write each byte: printable Latin-1 as itself, the rest from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = (b for b in range(256) if b not in own)
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class _Encoder:
     """Ids of texts through a memory of their white-space separated words.
 
-    The tokenizer drops white space and no token spans it, so a text's ids are its words' ids in order.
+    The tokenizer drops white space and no token spans it, so a text's ids are its words' ids in order. A word of
+    Latin letters with ASCII marks behind (no apostrophe) goes straight to the merges, letters in lower case and marks
+    as one run: its normal form and its split are known. Every other word takes the tokenizer's whole path.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.stems: dict[str, list[int]] = {}
+        self.marks: dict[str, list[int]] = {"": []}
         self.ids = np.zeros(0, np.uint32)
         self.first = np.zeros(1, np.int64)
 
+    def _merged(self, word: str) -> list[int]:
+        if not word.isascii():
+            word = "".join(map(self.letters.__getitem__, word.encode()))
+        return [t.id for t in self.merge(word)]
+
+    def _ids(self, word: str) -> list[int]:
+        m = _PLAIN.fullmatch(word)
+        if not m:
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        stem = m[1].lower()
+        found = self.stems.get(stem)
+        if found is None:
+            found = self.stems[stem] = self._merged(stem)
+        marks = self.marks.get(m[2])
+        if marks is None:
+            marks = self.marks[m[2]] = self._merged(m[2])
+        return found + marks
+
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         split = [(t or "").split() for t in texts]  # Unicode white space: the tokenizer's \\s
         if len(self.known) > _CACHED:
             self.forget()
         new = list({w for words in split for w in words}.difference(self.known))
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+            found = [self._ids(w) for w in new]
             for w in new:
                 self.known[w] = len(self.known)
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self.ids = np.concatenate([self.ids, np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum()))])
+            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+            self.ids = np.concatenate([self.ids, flat])
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
         for words in split:
             at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
@@ -91,7 +129,7 @@ def cut_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(path)
         for batch in batches:
-            for lo, hi in pieces(batch.column("text")):
+            for lo, hi in pieces(batch.column("text"), _PIECE_BYTES):
                 part = batch.slice(lo, hi - lo)
                 rows = []
                 ids = part.column("doc_id").to_pylist()
