@@ -27,6 +27,12 @@ def match_key(path: Column | str) -> Column:
     return F.lower(F.trim(stem(path)))
 
 
+def path_name(path: Column | str) -> Column:
+    """A path without scheme and extension as one name: folders are joined by two underscores."""
+    bare = F.regexp_replace(F.regexp_replace(_col(path), r"^[A-Za-z0-9]+:", ""), r"^/+|\.[^./]*$", "")
+    return F.regexp_replace(bare, "/+", "__")
+
+
 def rename_key(path: Column | str) -> Column:
     """Stem without a trailing '-<number>'."""
     return F.regexp_replace(stem(F.trim(_col(path))), r"-[0-9]+$", "")

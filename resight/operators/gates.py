@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resight.functions.keywords import known
+from resight.session import saved_counting
 
 
 class GateError(ValueError):
@@ -22,14 +23,17 @@ def label_conflicts(rows: DataFrame, key: str, label: str, ignore_unknown: bool
     return labelled.groupBy(key).agg(F.count_distinct(label).alias("n_labels")).filter("n_labels > 1")
 
 
-def halt_on_conflicts(
-    rows: DataFrame, key: str, label: str, ignore_unknown: bool = False, show: int = 20
-) -> DataFrame:
-    """Raise with the first IDs when labels conflict; otherwise hand the rows on."""
-    bad = label_conflicts(rows, key, label, ignore_unknown).select(key).limit(show).collect()
-    if bad:
-        names = ", ".join(sorted(str(r[0]) for r in bad))
-        raise GateError(f"propagation halted, conflicting labels for: {names}")
+def _halt(bad: DataFrame, what: str) -> None:
+    """Raise if the table has rows: all of them are written, the message has their number and place."""
+    found, seen = saved_counting(bad, F.count(F.lit(1)).alias("n"))
+    if seen["n"]:
+        first = ", ".join("/".join(str(v) for v in r) for r in found.orderBy(*found.columns).limit(20).collect())
+        raise GateError(f"{what}: {seen['n']} groups, all listed in {found.inputFiles()[0].rsplit('/', 1)[0]}; first: {first}")
+
+
+def halt_on_conflicts(rows: DataFrame, key: str, label: str, ignore_unknown: bool = False) -> DataFrame:
+    """Raise when labels conflict, naming the table of all conflicting IDs; otherwise hand the rows on."""
+    _halt(label_conflicts(rows, key, label, ignore_unknown).select(key), "propagation halted, conflicting labels")
     return rows
 
 
@@ -39,22 +43,16 @@ def multi_valued(rows: DataFrame, keys: Sequence[str], column: str) -> DataFrame
     return rows.groupBy(*keys).agg(value.alias("n_values")).filter("n_values > 1")
 
 
-def require_single(rows: DataFrame, keys: Sequence[str], column: str, show: int = 20) -> None:
-    bad = multi_valued(rows, keys, column).limit(show).collect()
-    if bad:
-        names = ", ".join("/".join(str(v) for v in r[: len(keys)]) for r in bad)
-        raise GateError(f"{column} is not single-valued for: {names}")
+def require_single(rows: DataFrame, keys: Sequence[str], column: str) -> None:
+    _halt(multi_valued(rows, keys, column).select(*keys), f"{column} is not single-valued")
 
 
 def duplicate_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
-def require_unique(rows: DataFrame, keys: Sequence[str], show: int = 20) -> None:
-    bad = duplicate_keys(rows, keys).limit(show).collect()
-    if bad:
-        names = ", ".join("/".join(str(v) for v in r[: len(keys)]) for r in bad)
-        raise GateError(f"keys ({', '.join(keys)}) are not unique: {names}")
+def require_unique(rows: DataFrame, keys: Sequence[str]) -> None:
+    _halt(duplicate_keys(rows, keys).select(*keys), f"keys ({', '.join(keys)}) are not unique")
 
 
 def require_columns(rows: DataFrame, columns: Sequence[str], what: str = "input") -> DataFrame:

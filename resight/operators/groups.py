@@ -94,11 +94,11 @@ def first_row(rows: DataFrame, keys: Sequence[str], order: Order, columns: Seque
 def sample_one(
     rows: DataFrame, keys: Sequence[str], row_key: str, columns: Sequence[str], seed: int = 0
 ) -> DataFrame:
-    """One pseudo-random row per group: the smallest seeded hash of the row key.
+    """One pseudo-random row per group: the smallest MD5 of seed and row key.
 
     A retried task, or a second run, picks the same row.
     """
-    draw = F.struct(F.xxhash64(F.col(row_key), F.lit(seed)), F.col(row_key))
+    draw = F.struct(F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_key).cast("string"))), F.col(row_key))
     picked = rows.groupBy(*keys).agg(F.min_by(F.struct(*columns), draw).alias("_one"))
     return picked.select(*keys, *[F.col(f"_one.{c}").alias(c) for c in columns])
 

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from resight.operators.gates import require_unique
 from resight.operators.skew import group_sizes, join_back
 
-BROADCAST_ROWS = 200_000  # checked by a count; a correction is a few short texts
-
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join in which null keys match null keys; the keys appear once."""
@@ -63,27 +61,19 @@ def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
 
 
 def apply_corrections(
-    rows: DataFrame,
-    corrections: DataFrame,
-    keys: Sequence[str],
-    column: str,
-    spread: Sequence[str],
-    new: str = "new_value",
+    rows: DataFrame, corrections: DataFrame, keys: Sequence[str], column: str, new: str = "new_value"
 ) -> DataFrame:
     """Manual corrections: where (keys, current value) is listed, take the new value.
 
-    ``corrections`` has the keys, ``column`` (value to replace, optional) and ``new``. Rows
-    without a listed correction, null keys included, stay as they are. The list is counted: up to
-    BROADCAST_ROWS it is broadcast; with a longer one large groups are split by the ``spread``
-    columns.
+    ``corrections`` has the keys, ``column`` (value to replace, optional) and ``new``. Rows without a listed
+    correction, null keys included, stay as they are. A correction listed twice with one new value counts once;
+    with different ones it is an error. The join is left to adaptive execution: a short list is broadcast by
+    its measured size, with a longer one large groups are split.
     """
     on = [*keys, column] if column in corrections.columns else list(keys)
-    hit = corrections.select(*on, F.col(new).alias("_new"), F.lit(True).alias("_hit"))
-    if hit.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        joined = rows.join(F.broadcast(hit), on, "left")
-    else:
-        sizes = group_sizes(rows, on)
-        joined = join_back(rows, hit.join(sizes, on), on, spread, sizes=sizes)
+    listed = corrections.select(*on, F.col(new).alias("_new")).distinct()
+    require_unique(listed, on)
+    joined = rows.join(listed.withColumn("_hit", F.lit(True)), on, "left")
     return joined.withColumn(
         column, F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column))
     ).select(*rows.columns)

@@ -181,7 +181,8 @@ def sessionize(
 ) -> DataFrame:
     """Add ``encounter_id``, numbered from 1 within each key.
 
-    A record without time is an encounter of its own, numbered after the timed ones.
+    A record without time is an encounter of its own, numbered after the timed ones. Records without
+    a key stay, with a null ``encounter_id``.
     """
     buckets = session_buckets(rows, key, ts, gap_minutes)
     timed = join_back(
@@ -198,7 +199,8 @@ def sessionize(
         .withColumn("encounter_id", F.col("_number") + F.coalesce("_sessions", F.lit(0)))
         .drop("_number", "_sessions")
     )
-    return timed.unionByName(numbered)
+    keyless = rows.filter(F.col(key).isNull()).withColumn("encounter_id", F.lit(None).cast("bigint"))
+    return timed.unionByName(numbered).unionByName(keyless)
 
 
 def gap_to_previous(rows: DataFrame, key: str, ts: str, seq: str, bucket_minutes: int = 5) -> DataFrame:

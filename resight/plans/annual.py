@@ -65,7 +65,8 @@ def encounters_per_day(
     """Encounters of each individual on each day, with the new/old flag.
 
     Works from one row per (individual, time bucket), never from all records of an individual.
-    Records without time are encounters of their own on a null day.
+    Records without time are encounters of their own on a null day. Records without an individual have
+    no encounters to count and are left out; ``sessionize`` keeps them.
     """
     rows = sightings if year is None else sightings.filter(F.year("datetime") == year)
     timed = session_buckets(rows, "id", "datetime", gap_minutes)

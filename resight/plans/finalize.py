@@ -44,7 +44,7 @@ def finalize(
     """
     rows = base
     if corrections is not None:
-        rows = apply_corrections(base, corrections, ["id"], "sex", spread=["photo_seq"])
+        rows = apply_corrections(base, corrections, ["id"], "sex")
     if gate:
         halt_on_conflicts(rows, "id", "sex", ignore_unknown)
     single = gate and not ignore_unknown

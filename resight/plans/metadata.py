@@ -35,7 +35,7 @@ def side_photos(listing: DataFrame, side: str, fixes: DataFrame | None = None) -
     )
     rows = rows.filter(F.col("side") == side)
     if fixes is not None:
-        rows = apply_corrections(rows, fixes, ["title", "year"], "age_class", spread=["photo_seq"])
+        rows = apply_corrections(rows, fixes, ["title", "year"], "age_class")
     return rows
 
 

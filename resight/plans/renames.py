@@ -18,7 +18,7 @@ def suffix_plan(files: DataFrame, suffix: str) -> DataFrame:
         folder.alias("old_name"),
         text.with_suffix("path", suffix).alias("new_name"),
     )
-    taken = parts.select("folder", F.col("old_name").alias("new_name"), F.lit(True).alias("_taken"))
+    taken = parts.select("folder", F.col("old_name").alias("new_name"), F.lit(True).alias("_taken")).distinct()
     return parts.join(taken, ["folder", "new_name"], "left").select(
         "path", "old_name", "new_name", F.coalesce("_taken", F.lit(False)).alias("skipped")
     )

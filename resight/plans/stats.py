@@ -14,13 +14,16 @@ PLACES = ["Gully", "Haldimand", "Shortland"]
 
 
 def pivot_counts(
-    rows: DataFrame, keys: Sequence[str], column: str, values: Sequence[str]
+    rows: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], other: str | None = None
 ) -> DataFrame:
     """Long counts to one column per value; absent combinations are null. A group that only has
-    other values keeps its row."""
+    other values keeps its row, and ``other`` names a column that counts them."""
     cols = [
         F.nullif(F.count_if(F.col(column) == v), F.lit(0)).alias(v.lower()) for v in values
     ]
+    if other:
+        listed = F.coalesce(F.col(column).isin(*values), F.lit(False))
+        cols.append(F.nullif(F.count_if(~listed), F.lit(0)).alias(other))
     return rows.groupBy(*keys).agg(*cols)
 
 
@@ -71,14 +74,14 @@ def ids_at(rows: DataFrame, place: str, side: str, at_least: int = 3) -> DataFra
 def seen_everywhere(rows: DataFrame, side: str, places: Sequence[str] = PLACES) -> DataFrame:
     """Individuals of one side seen at every place, with day counts per place."""
     days = rows.filter(F.col("side") == side).select("date", "location", "id", "side").distinct()
-    wide = pivot_counts(days, ["id", "side"], "location", places)
+    wide = pivot_counts(days, ["id", "side"], "location", places, "elsewhere")
     return wide.dropna(subset=[p.lower() for p in places])
 
 
 def reliable_ids_at(rows: DataFrame, side: str, place: str, places: Sequence[str] = PLACES) -> DataFrame:
     """Reliable photos per individual and place, kept where the named place has any."""
     good = rows.filter((F.col("side") == side) & (F.col("reliable") == "Yes"))
-    return pivot_counts(good, ["id"], "location", places).dropna(subset=[place.lower()])
+    return pivot_counts(good, ["id"], "location", places, "elsewhere").dropna(subset=[place.lower()])
 
 
 def ids_by_label(rows: DataFrame, label: str = "sex") -> DataFrame:

@@ -113,17 +113,13 @@ register(
 def _snapshot(spark, d):
     path = fresh(spark, "snapshot")
     writers.write_snapshot(base(spark, d), path, ["year"])
-    return readers_year(writers.read_snapshot(spark, path))
-
-
-def readers_year(df):
-    return df.filter("year = 1996").select("photo_seq", "id", "date", "side", "sex", "year")
+    return writers.read_snapshot(spark, path).select("photo_seq", "id", "date", "side", "sex", "year")
 
 
 register(
     "s5_snapshot_by_year",
     _snapshot,
-    "SELECT photo_seq, id, date, side, sex, year FROM base WHERE year = 1996",
+    "SELECT photo_seq, id, date, side, sex, year FROM base",
 )
 
 
@@ -183,11 +179,23 @@ def _per_source(spark, d):
 register(
     "s8_per_source_and_compiled",
     _per_source,
-    """SELECT location AS source, side, count(*) AS n FROM base GROUP BY 1, 2 UNION ALL SELECT 'compiled', side, count(*) FROM base GROUP BY side""",
+    """SELECT 'in__' || location AS source, side, count(*) AS n FROM base GROUP BY 1, 2 UNION ALL SELECT 'compiled', side, count(*) FROM base GROUP BY side""",
 )
+
+
+def _inventory(spark, d):
+    """The files of a snapshot of the listing, by the year in their path."""
+    path = fresh(spark, "inventory")
+    writers.write_snapshot(base(spark, d), path, ["year"])
+    files = readers.file_inventory(spark, path, ["parquet"])
+    year = F.regexp_extract("path", "/year=([^/]*)/", 1)
+    return files.groupBy(year.alias("year")).agg((F.min("length") > 0).alias("has_bytes"))
+
+
 register(
     "s9_file_inventory",
-    lambda spark, d: readers.file_inventory(spark, d, ["parquet"]).select(base_name("path").alias("name"), "length"),
+    _inventory,
+    "SELECT DISTINCT coalesce(CAST(year AS VARCHAR), '__HIVE_DEFAULT_PARTITION__') AS year, true AS has_bytes FROM base",
 )
 register(
     "d33_compiled_from_folders",

@@ -471,6 +471,16 @@ register(
 register(
     "d38_individual_year_metadata",
     lambda spark, d: metadata.individual_year_metadata(driver.tagged_listing(spark, d), "left", seed=11),
+    """SELECT title, side, year, sex, min_year, max_year, max_year - min_year + 1 AS year_span, minimum_age, age_class, yday FROM (
+      SELECT title, 'left' AS side, y AS year, sex, min(y) OVER w AS min_year, max(y) OVER w AS max_year,
+        y - min(y) OVER w + CASE first_value(age) OVER (PARTITION BY title ORDER BY y NULLS LAST, age) WHEN 'Calf' THEN 0 WHEN 'Juvenile' THEN 1 ELSE 3 END AS minimum_age,
+        age AS age_class, yday, row_number() OVER (PARTITION BY title, y ORDER BY md5('11:' || photo_seq), photo_seq) AS r
+      FROM (SELECT photo_seq, title, keyword_export, year(day) AS y, dayofyear(day) AS yday,
+          CASE WHEN contains(keyword_export, 'Male') THEN 'Male' WHEN contains(keyword_export, 'FemaleJ') THEN 'Female-Juvenile' END AS sex,
+          CASE WHEN contains(keyword_export, 'samCalf') THEN 'Calf' WHEN contains(keyword_export, 'samJuv') THEN 'Juvenile' ELSE 'Adult' END AS age
+        FROM (SELECT *, TRY_CAST(substr(date_original, 1, 10) AS DATE) AS day FROM tagged)
+        WHERE title <> 'UNK' AND contains(keyword_export, 'Left') AND NOT contains(keyword_export, 'Right'))
+      WINDOW w AS (PARTITION BY title)) WHERE r = 1""",
 )
 
 
@@ -531,7 +541,8 @@ register(
 )
 register("d40_seen_everywhere", lambda spark, d: stats.seen_everywhere(base(spark, d), "Left"), gq.EVERYWHERE)
 _PLACES = """nullif(count(*) FILTER (WHERE location = 'Gully'), 0) AS gully, nullif(count(*) FILTER (WHERE location = 'Haldimand'), 0) AS haldimand,
-    nullif(count(*) FILTER (WHERE location = 'Shortland'), 0) AS shortland"""
+    nullif(count(*) FILTER (WHERE location = 'Shortland'), 0) AS shortland,
+    nullif(count(*) FILTER (WHERE location NOT IN ('Gully', 'Haldimand', 'Shortland')), 0) AS elsewhere"""
 register(
     "d40_reliable_ids_at_site",
     lambda spark, d: stats.reliable_ids_at(base(spark, d), "Left", "Gully"),

@@ -248,8 +248,8 @@ register(
 
 def _corrected(spark, d):
     rows = b.clean_base(driver.listing(spark, d))
-    fixes = stored(spark, f"corrections:{d}", lambda: finalize.corrections_from_precedence(rows))
-    return apply_corrections(rows, fixes, ["id"], "sex", spread=["photo_seq"]).select("photo_seq", "id", "sex")
+    fixes = stored(spark, "corrections", d, lambda: finalize.corrections_from_precedence(rows))
+    return apply_corrections(rows, fixes, ["id"], "sex").select("photo_seq", "id", "sex")
 
 
 register(

@@ -66,13 +66,21 @@ def saved_counting(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict[str
     return out, seen.get
 
 
-def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A table written once per session to the scratch folder and read back from there.
+def _state(spark: SparkSession, folder: str) -> str:
+    """Path, size and time of the tables in a folder, so that changed input is noticed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    seen = sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
+    return uuid.uuid5(uuid.NAMESPACE_URL, repr(seen)).hex
+
+
+def stored(spark: SparkSession, name: str, folder: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table derived from the tables in ``folder``, written once per session and state of the folder.
 
     Readers get column pruning and filter pushdown, a lost executor re-reads files instead of
     recomputing, and the lineage is cut.
     """
-    key = f"resight.stored.{name}"
+    key = f"resight.stored.{name}.{_state(spark, folder)}"
     path = spark.conf.get(key, None)
     if path:
         try:

@@ -15,12 +15,12 @@ from resight.sources.readers import table
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """Photo listing, one row per order."""
-    return stored(spark, f"listing:{folder}", lambda: _listing(spark, folder))
+    return stored(spark, "listing", folder, lambda: _listing(spark, folder))
 
 
 def tagged_listing(spark: SparkSession, folder: str) -> DataFrame:
     """Listing whose label words use the tag vocabulary of the catalogue checks."""
-    return stored(spark, f"tagged:{folder}", lambda: _tagged_listing(spark, folder))
+    return stored(spark, "tagged", folder, lambda: _tagged_listing(spark, folder))
 
 
 def _listing(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,7 +164,7 @@ def sightings(spark: SparkSession, folder: str) -> DataFrame:
 
 def auto_responses(spark: SparkSession, folder: str) -> DataFrame:
     """One raw rating response per second photo: some unreadable, some in code fences."""
-    return stored(spark, f"responses:{folder}", lambda: _auto_responses(spark, folder))
+    return stored(spark, "responses", folder, lambda: _auto_responses(spark, folder))
 
 
 def _auto_responses(spark: SparkSession, folder: str) -> DataFrame:

@@ -160,9 +160,9 @@ def read_import_sheets(
 
 
 def file_status(sheets: DataFrame, name: str = "file_name") -> DataFrame:
-    """Rows, rows that did not fit and rows without a file name, per source file: a bad file shows
+    """Rows, rows that did not fit and rows without a file name, per source path: a bad file shows
     here and does not stop the others."""
-    return sheets.groupBy(base_name("source_file").alias("file")).agg(
+    return sheets.groupBy(F.col("source_file").alias("file")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("bad_record").alias("n_bad"),
         F.count_if(F.col(name).isNull()).alias("n_unnamed"),

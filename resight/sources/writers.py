@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.functions.text import stem
+from resight.functions.text import path_name
 
 
 def write_snapshot(
@@ -44,12 +44,13 @@ def write_ids(df: DataFrame, column: str, path: str) -> None:
 
 
 def write_per_source(df: DataFrame, folder: str, source: str = "source_file") -> tuple[str, str]:
-    """One output per input file (a folder each) and one compiled output.
+    """One output per input file (a folder each, named by the file's whole path, so equal names in
+    different folders stay apart) and one compiled output.
 
     A task reads few input files, so it writes to few folders without a shuffle.
     """
     per_file, compiled = f"{folder}/per_file", f"{folder}/compiled"
-    named = df.withColumn("source", stem(source)).drop(source)
+    named = df.withColumn("source", path_name(source)).drop(source)
     named.write.mode("overwrite").partitionBy("source").option("header", True).csv(per_file)
     named.drop("source").write.mode("overwrite").option("header", True).csv(compiled)
     return per_file, compiled

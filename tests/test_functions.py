@@ -203,3 +203,11 @@ def test_rating_json(spark):
 def test_report_cells(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert tuple(text.report_cells(df).first()) == ("1", "—")
+
+
+def test_path_names_keep_folders_apart(spark):
+    from resight.functions.text import path_name
+
+    paths = ["file:///in/a/x.csv", "/in/b/x.csv", "x.csv", None]
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select(path_name("p").alias("n"))
+    assert [r.n for r in df.collect()] == ["in__a__x", "in__b__x", "x", None]

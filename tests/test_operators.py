@@ -122,7 +122,8 @@ def sessions(sightings, gap=1800):
 def test_sessionize(spark, sightings, blocks):
     df = spark.createDataFrame(sightings, "seq bigint, id string, ts timestamp_ntz")
     got = scans.sessionize(df, "id", "ts", "seq").collect()
-    assert {r["seq"]: r["encounter_id"] for r in got} == sessions(sightings)[0]
+    keyless = {s[0]: None for s in sightings if s[1] is None}
+    assert {r["seq"]: r["encounter_id"] for r in got} == sessions(sightings)[0] | keyless
 
 
 def test_gap_to_previous(spark, sightings, blocks):
@@ -210,16 +211,26 @@ def test_null_safe_join(spark):
     assert got == sorted([("a", 1, 10), (None, 2, 20), ("b", 3, None)], key=str)
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
-def test_corrections(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
-    monkeypatch.setattr(skew, "PART_ROWS", 9)
+def test_corrections(spark, rows):
     fixes = spark.createDataFrame([("hot", "FemaleJ", "MaleM"), ("a", "UNK", None)], "id string, sex string, new_value string")
-    out = joins.apply_corrections(frame(spark, rows), fixes, ["id"], "sex", ["photo_seq"])
+    out = joins.apply_corrections(frame(spark, rows), fixes.union(fixes), ["id"], "sex")
     table = {("hot", "FemaleJ"): "MaleM", ("a", "UNK"): None}
     assert {r["photo_seq"]: r["sex"] for r in out.collect()} == {r[0]: table.get((r[1], r[3]), r[3]) for r in rows}
 
 
+def test_conflicting_corrections(spark, rows):
+    fixes = spark.createDataFrame([("a", "M"), ("a", "F")], "id string, new_value string")
+    with pytest.raises(gates.GateError, match="not unique"):
+        joins.apply_corrections(frame(spark, rows), fixes, ["id"], "sex")
+
+
+def test_sessions_keep_rows_without_key(spark):
+    rows = [(1, "a", 0), (2, "a", 10), (3, None, 5), (4, None, None), (5, "a", None)]
+    df = spark.createDataFrame(rows, "seq long, id string, m int").selectExpr("seq", "id", "timestamp_seconds(60 * m) AS t")
+    got = {r.seq: r.encounter_id for r in scans.sessionize(df, "id", "t", "seq").collect()}
+    assert got == {1: 1, 2: 1, 3: None, 4: None, 5: 2}
+
+
 def test_ids_present(spark, rows, blocks):
     ids = spark.createDataFrame([("hot",), ("a",), ("a",), (None,), ("zz",)], "id string")
     out = joins.ids_present(frame(spark, rows), ids, "id", ["photo_seq"])
@@ -249,10 +260,10 @@ def test_repeated_groups(spark):
 
 def test_gates(spark):
     df = spark.createDataFrame([("1", "FemaleJ"), ("1", "UNK"), ("2", "MaleM"), (None, "MaleM"), (None, "UNK")], "id string, sex string")
-    with pytest.raises(gates.GateError, match="for: 1$"):
+    with pytest.raises(gates.GateError, match="1 groups, all listed in .*; first: 1$"):
         gates.halt_on_conflicts(df, "id", "sex")
     assert gates.halt_on_conflicts(df, "id", "sex", ignore_unknown=True) is df
-    with pytest.raises(gates.GateError, match="not unique: 1"):
+    with pytest.raises(gates.GateError, match="not unique: 1 groups, .*first: 1$"):
         gates.require_unique(df.filter("id is not null"), ["id"])
     with pytest.raises(gates.GateError, match="missing columns in sheet: b, c"):
         gates.require_columns(df, ["id", "b", "c"], "sheet")

@@ -8,7 +8,7 @@ from check import compare, connect
 from resight.registry import ORACLES, QUERIES
 
 FOLDER = os.environ.get("RESIGHT_TEST_SF", "/root/testdata/sf0.001")
-NO_ORACLE = {"w10_sample_one", "d38_individual_year_metadata", "s9_file_inventory"}
+NO_ORACLE: set[str] = set()
 
 
 @pytest.fixture(scope="module")
