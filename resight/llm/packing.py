@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -33,7 +34,7 @@ from resight.session import saved
 LENGTH = 2048
 STEP = 4  # a class holds the lengths of one multiple of STEP and those just below it
 END_ID = 1
-_CACHED = 200_000  # words whose ids a task remembers
+_CACHED = 500_000  # words whose ids a task remembers
 _BLOCKS = 64
 _PIECE_BYTES = 1 << 20
 
@@ -119,6 +120,12 @@ class _Encoder:
             yield out
 
 
+@lru_cache(1)
+def _encoder(path: str) -> _Encoder:
+    """One encoder per Python worker: its memory of words lasts over the tasks the worker runs."""
+    return _Encoder(path)
+
+
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row long"
 
 
@@ -127,7 +134,7 @@ def cut_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(path)
+        encoder = _encoder(path)
         for batch in batches:
             for lo, hi in pieces(batch.column("text"), _PIECE_BYTES):
                 part = batch.slice(lo, hi - lo)
