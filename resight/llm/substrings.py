@@ -76,13 +76,16 @@ def runs_of(hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...
     grams = mix(grams)
     width = window - gram + 1
     least = _sliding(grams, width, np.minimum)
-    # a gram counts where it is the minimum of a window around it
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-    chosen = np.concatenate([[0], np.cumsum(_sliding(padded, width, np.maximum) == grams)])
     cut = np.flatnonzero(least[1:] != least[:-1]) + 1
     first = np.concatenate([[0], cut])
     size = np.diff(np.append(first, n))
-    occurs = chosen[first + size + width - 1] - chosen[first]
+    # occurrences of its minimiser among the grams a run spans
+    values = least[first]
+    at = np.flatnonzero(np.isin(grams, values))
+    kinds, of_gram = np.unique(grams[at], return_inverse=True)
+    slots = np.sort(of_gram * (len(grams) + 1) + at)
+    base = np.searchsorted(kinds, values) * (len(grams) + 1) + first
+    occurs = np.searchsorted(slots, base + size + width - 1) - np.searchsorted(slots, base)
     # runs longer than the longest are cut; each part keeps a count that marks it as repeated
     parts = -(-size // LONGEST_RUN)
     at = np.repeat(np.arange(len(first)), parts)
