@@ -6,7 +6,7 @@ shards are made by content:
 1. Every window has a minimiser, the smallest hash of the ``GRAM``-word sequences inside it. Consecutive windows
    with one minimiser form a run; equal windows have equal minimisers, wherever they stand.
 2. Only runs whose minimiser occurs twice can hold repeats. Runs with equal words are one segment with a number
-   of copies; one occurrence of each is read out. A minimiser with more than ``HOT`` occurrences (a passage in a
+   of copies; copies of the only segment of a minimiser are repeated whole, of the others one occurrence is read out. A minimiser with more than ``HOT`` occurrences (a passage in a
    third of all documents) has its runs cut to single windows with the window's own hash as key: all equal
    windows become one segment, and no key gathers the differing surroundings.
 3. Segments are dealt to shards of about ``SHARD_WORDS`` words by minimiser. Each shard builds one FM-index and
@@ -14,6 +14,9 @@ shards are made by content:
    copies, are reported as ranges.
 4. Ranges go back to every occurrence of the segment, and each document drops the words they cover.
 
+Documents that are needed again are picked by a broadcast of at most 2^``tables.FILTER_BITS`` hash slots; the others
+are not shuffled.
+
 Words are compared as 64-bit hashes. Cases: null text has no words; texts shorter than a window lose nothing;
 rows that repeat both doc_id and text are documents of their own and repeat each other; other columns are
 ignored; an empty table gives an empty result.
@@ -29,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resight.llm.fm_index import FMIndex, repeated_windows
+from resight.llm.tables import slot, slots
 from resight.llm.word_arrays import Words, mix, pieces, utf8
 from resight.session import saved, saved_counting
 
@@ -96,14 +100,18 @@ def runs_of(hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...
     return start, size, least[first[at]], occurs[at], _span_hash(sums, start, start + size + window - 1)
 
 
-def _arrow(names: list[str], columns: list[np.ndarray | pa.Array]) -> pa.RecordBatch:
+def _arrow(names: list[str], columns: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [c if isinstance(c, pa.Array) else pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in columns], names
+        [
+            pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int32 if n in ("start", "size", "occurs") else np.int64))
+            for n, c in zip(names, columns, strict=True)
+        ],
+        names,
     )
 
 
 _RUN = ["rid", "start", "size", "key", "occurs", "segment"]
-_RUN_SCHEMA = ", ".join(f"{c} long" for c in _RUN)
+_RUN_SCHEMA = "rid long, start int, size int, key long, occurs int, segment long"
 
 
 def find_runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -165,7 +173,7 @@ def _read_out(docs: DataFrame, segments: DataFrame, window: int) -> DataFrame:
                 )
 
     # rows that repeat id and text read out the same segments; one is enough
-    once = docs.join(wanted, "rid").select("rid", "text", "runs").dropDuplicates(["rid"])
+    once = docs.join(slots(wanted, "rid"), slot("rid") == F.col("slot"), "left_semi").join(wanted, "rid").select("rid", "text", "runs").dropDuplicates(["rid"])
     return once.mapInArrow(run, "key long, segment long, copies long, words binary")
 
 
@@ -210,22 +218,29 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
     ``docs``: (rid, text); rows with one ``rid`` must have one text.
     """
     runs = saved(find_runs(docs, window, gram))
-    shared = saved(runs.groupBy("key").agg(F.sum("occurs").alias("n")).filter("n > 1"))
+    shared, seen = saved_counting(
+        runs.groupBy("key").agg(F.sum("occurs").alias("n")).filter("n > 1"), F.count_if(F.col("n") > hot).alias("hot")
+    )
     cold = runs.join(shared.filter(F.col("n") <= hot).select("key"), "key")
-    warm, seen = saved_counting(runs.join(shared.filter(F.col("n") > hot).select("key"), "key"), F.count(F.lit(1)).alias("n"))
-    if seen["n"]:
+    if seen["hot"]:
+        warm = saved(runs.join(shared.filter(F.col("n") > hot).select("key"), "key"))
         windows = saved(_single_windows(docs, warm, window))
         again = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
         cold = cold.select(*_RUN).union(windows.join(again, "key").select(*_RUN))
     runs = saved(cold.select("rid", "start", "size", "key", "segment"))
-    segments, total = saved_counting(
+    segments = saved(
         runs.groupBy("key", "segment").agg(
             F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "start", "size")).alias("at")
-        ).select("key", "segment", "copies", "at.*"),
-        F.sum(F.col("size") + window).alias("words"),
+        ).select("key", "segment", "copies", "at.*")
     )
+    # copies of the only segment of a minimiser are repeated whole, whatever the index would say
+    several = segments.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
+    kinds = segments.join(several, "key")
+    alone = (F.col("kinds") == 1) & (F.col("copies") > 1)
+    whole = kinds.filter(alone).select("key", "segment", F.lit(0).cast("long").alias("lo"), F.col("size").alias("hi"))
+    indexed, total = saved_counting(kinds.filter(~alone).drop("kinds"), F.sum(F.col("size") + window).alias("words"))
     shards = -(-(total["words"] or 0) // shard_words) or 1
-    found = saved(_search(_read_out(docs, segments, window), shards, window))
+    found = saved(_search(_read_out(docs, indexed, window), shards, window)).union(whole)
     return runs.join(found, ["key", "segment"]).select(
         "rid", (F.col("start") + F.col("lo")).alias("start"), (F.col("start") + F.col("hi") + window - 1).alias("end")
     )
@@ -257,6 +272,10 @@ def remove_repeats(docs: DataFrame, **options: int) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    joined = docs.join(per_doc, "rid", "left").select("doc_id", "text", "spans")
+    per_doc = saved(per_doc)
+    some, touched = slots(per_doc, "rid"), slot("rid") == F.col("slot")
+    changed = docs.join(some, touched, "left_semi").join(per_doc, "rid", "left").select("doc_id", "text", "spans")
+    same = docs.join(some, touched, "left_anti").select("doc_id", "text", F.lit(None).cast(per_doc.schema["spans"].dataType).alias("spans"))
+    joined = changed.union(same)
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 

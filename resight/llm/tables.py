@@ -25,3 +25,16 @@ def words_of(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, also where ``body`` uses it inside lambdas."""
     return F.transform(F.array(value), body)[0]
+
+
+FILTER_BITS = 20
+
+
+def slot(column: str) -> Column:
+    """Hash slot of a column, for pre-filters whose broadcast must not grow with the data."""
+    return F.pmod(F.xxhash64(column, F.lit(1)), F.lit(1 << FILTER_BITS)).cast("int")
+
+
+def slots(rows: DataFrame, column: str) -> DataFrame:
+    """The hash slots that a column fills: at most 2^FILTER_BITS small rows, marked for a broadcast."""
+    return F.broadcast(rows.select(slot(column).alias("slot")).distinct())
