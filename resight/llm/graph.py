@@ -66,11 +66,12 @@ def link_buckets(
     near: Callable[[str, str], Column] | None = None,
     values: tuple[str, ...] = (),
     settle: Callable[[DataFrame], DataFrame] | None = None,
+    small: int | None = None,
 ) -> DataFrame:
     """Confirmed links (a, b) that connect whatever the candidates of all buckets connect.
 
-    ``members``: (bucket, id, values...), the same id at most once in a bucket. Buckets of up to ``SMALL``
-    members compare each with each. In a larger one, members meet one representative per round, another one
+    ``members``: (bucket, id, values...), the same id at most once in a bucket. Buckets of up to ``small``
+    members (``SMALL`` unless given) compare each with each. In a larger one, members meet one representative per round, another one
     each round, and members already connected are left out; what is still apart after ``ROUNDS`` (bucket, id, c) goes to
     ``settle``, which returns its links, or is compared each with each across components. So a large group costs
     about one pair per member and round, and yet no candidate between different components is left out. ``near`` may
@@ -94,10 +95,11 @@ def link_buckets(
         met = rows.join(heads, "bucket").select(*rows.columns, *[F.col(f"head.{c}").alias(f"{c}2") for c in names])
         return met.filter("c != c2") if "c" in names else met.filter("id != id2")
 
+    limit = SMALL if small is None else small
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    small = members.join(sizes.filter((F.col("n") > 1) & (F.col("n") <= SMALL)).select("bucket"), "bucket")
+    small = members.join(sizes.filter((F.col("n") > 1) & (F.col("n") <= limit)).select("bucket"), "bucket")
     large, found = saved_counting(
-        members.join(sizes.filter(F.col("n") > SMALL).select("bucket"), "bucket"), F.count(F.lit(1)).alias("n")
+        members.join(sizes.filter(F.col("n") > limit).select("bucket"), "bucket"), F.count(F.lit(1)).alias("n")
     )
     first = pairs(every(small))
     if not found["n"]:
