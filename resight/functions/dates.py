@@ -45,15 +45,40 @@ def listing_date(text: Column | str) -> Column:
 def any_date(
     text: Column | str, formats: Sequence[tuple[str, str]] = DAY_FORMATS, serial: bool = True
 ) -> Column:
-    """First format that works; digits alone are a spreadsheet serial day."""
+    """First format that works; five to seven digits alone are a spreadsheet serial day (a bare year is
+    none). What is left is read in the orders of ``free_date``."""
     text = _col(text)
     parsed = [_day(text, pattern, fmt) for pattern, fmt in formats]
     if serial:
-        days = F.when(text.rlike(r"^\s*\d{1,6}(\.\d+)?\s*$"), F.trim(text)).try_cast("double")
+        days = F.when(text.rlike(r"^\s*\d{5,7}(\.\d+)?\s*$"), F.trim(text)).try_cast("double")
+        days = F.when(days < 2958466, days)  # the last day a spreadsheet knows is 9999-12-31
         parsed.append(F.date_add(F.lit(SPREADSHEET_DAY_ZERO).cast("date"), F.floor(days).cast("int")))
+        parsed.append(free_date(text))
     return F.coalesce(*parsed)
 
 
+# Separated or compact spellings of the same orders; a month may be a name.
+_FREE = [
+    (r"^\s*(\d{4})[^0-9A-Za-z]+(\d{1,2}|[A-Za-z]{3,9})[^0-9A-Za-z]+(\d{1,2})(?!\d)", (1, 2, 3)),
+    (r"^\s*(\d{4})(\d{2})(\d{2})(?!\d)", (1, 2, 3)),
+    (r"^\s*(\d{1,2}|[A-Za-z]{3,9})[^0-9A-Za-z]+(\d{1,2})[^0-9A-Za-z]+(\d{4})(?!\d)", (3, 1, 2)),
+    (r"^\s*(\d{2})(\d{2})(\d{4})(?!\d)", (3, 1, 2)),
+    (r"^\s*(\d{1,2})[^0-9A-Za-z]*(\d{1,2}|[A-Za-z]{3,9})[^0-9A-Za-z]*(\d{4})(?!\d)", (3, 2, 1)),
+]
+
+
+def free_date(text: Column | str) -> Column:
+    """Year-month-day, else month-day-year, else day-month-year, whatever separates the parts."""
+    text = _col(text)
+    out = []
+    for pattern, (y, m, d) in _FREE:
+        year, month, day = (F.regexp_extract(text, pattern, k) for k in (y, m, d))
+        named = F.position(F.lower(F.substring(month, 1, 3)), F.lit("janfebmaraprmayjunjulaugsepoctnovdec"))
+        number = F.when(month.rlike("[A-Za-z]"), F.when(named % 3 == 1, F.floor(named / 3 + 1).cast("string"))).otherwise(month)
+        out.append(F.try_to_date(F.concat_ws("-", F.nullif(year, F.lit("")), number, day), "yyyy-M-d"))
+    return F.coalesce(*out)
+
+
 def day_month_first(text: Column | str) -> Column:
     """d/m/y, else m/d/y."""
     return any_date(text, [DAY_FORMATS[2], DAY_FORMATS[1]], serial=False)

@@ -140,11 +140,13 @@ def label(keyword: Column | str, rule_set: str = "listing_2025") -> Column:
     return first_match(keyword, rules, otherwise)
 
 
-def label_2021(keyword: Column | str, year: Column | str, biopsied: Column | str) -> Column:
-    """Rule set of 2021: every animal biopsied in 2019 counts as 'Female'."""
+def label_2021(
+    keyword: Column | str, year: Column | str, biopsied: Column | str, biopsy_year: int = 2019
+) -> Column:
+    """Rule set of 2021: every animal biopsied in ``biopsy_year`` counts as 'Female'."""
     year = F.col(year) if isinstance(year, str) else year
     biopsied = F.col(biopsied) if isinstance(biopsied, str) else biopsied
-    return F.when((year == 2019) & (biopsied == "YES"), "Female").otherwise(
+    return F.when((year == biopsy_year) & (biopsied == "YES"), "Female").otherwise(
         label(keyword, "listing_2020")
     )
 

@@ -190,7 +190,7 @@ register(
     "p26_label_rules",
     lambda spark, d: driver.listing(spark, d).select(
         "photo_seq", *[kw.label("keyword_export", s).alias(s) for s in LISTING_SETS],
-        kw.label_2021("keyword_export", F.lit(2019), kw.biopsy("keyword_export")).alias("listing_2021"),
+        kw.label_2021("keyword_export", dates.year_in_text("file_name"), kw.biopsy("keyword_export"), 1996).alias("listing_2021"),
     ),
     """SELECT photo_seq,
     CASE WHEN regexp_matches(t, 'Melon_F,|biopsy-Female') THEN 'FemaleJ' WHEN regexp_matches(t, 'Melon_M,|biopsy-Male') THEN 'MaleM' WHEN regexp_matches(t, 'Melon_UNK') THEN 'UNK' END AS listing_2025,
@@ -199,8 +199,8 @@ register(
     CASE WHEN regexp_matches(t, 'Melon_F') THEN 'FemaleJ' WHEN regexp_matches(t, 'Melon_M') THEN 'MaleM' WHEN regexp_matches(t, 'Melon_UNK') THEN 'UNK' END AS melon_source,
     CASE WHEN regexp_matches(t, 'F,') THEN 'FemaleJ' WHEN regexp_matches(t, 'Male,|M,') THEN 'MaleM' WHEN regexp_matches(t, 'FJ') THEN 'FemaleJ' END AS listing_2023,
     CASE WHEN regexp_matches(t, 'Female,') THEN 'FemaleJ' WHEN regexp_matches(t, 'Male,|MM,') THEN 'MaleM' WHEN regexp_matches(t, 'FJ') THEN 'FemaleJ' END AS listing_2020,
-    CASE WHEN regexp_matches(t, 'biopsy') THEN 'Female' WHEN regexp_matches(t, 'Female,') THEN 'FemaleJ' WHEN regexp_matches(t, 'Male,|MM,') THEN 'MaleM' WHEN regexp_matches(t, 'FJ') THEN 'FemaleJ' END AS listing_2021
-    FROM (SELECT photo_seq, keyword_export AS t FROM listing)""",
+    CASE WHEN regexp_matches(t, 'biopsy') AND regexp_extract(file_name, '[0-9]{4}') = '1996' THEN 'Female' WHEN regexp_matches(t, 'Female,') THEN 'FemaleJ' WHEN regexp_matches(t, 'Male,|MM,') THEN 'MaleM' WHEN regexp_matches(t, 'FJ') THEN 'FemaleJ' END AS listing_2021
+    FROM (SELECT photo_seq, file_name, keyword_export AS t FROM listing)""",
 )
 register(
     "p26_label_rules_tagged",

@@ -211,3 +211,15 @@ def test_path_names_keep_folders_apart(spark):
     paths = ["file:///in/a/x.csv", "/in/b/x.csv", "x.csv", None]
     df = spark.createDataFrame([(p,) for p in paths], "p string").select(path_name("p").alias("n"))
     assert [r.n for r in df.collect()] == ["in__a__x", "in__b__x", "x", None]
+
+
+def test_dates_in_free_spellings(spark):
+    from resight.functions.dates import any_date
+
+    texts = {
+        "20190727": "2019-07-27", "2019.07.27": "2019-07-27", "27 Jul 2019": "2019-07-27", "July 27, 2019": "2019-07-27",
+        "27.07.2019": "2019-07-27", "07 27 2019": "2019-07-27", "2958465": "9999-12-31", "43673": "2019-07-27", "2019": None,
+        "27Jul2019": "2019-07-27", "2019 Xyz 27": None, "9999999": None, "": None, "2019-7-27 10:00": "2019-07-27",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", any_date("t").cast("string").alias("d"))
+    assert {r.t: r.d for r in df.collect()} == texts
