@@ -38,7 +38,7 @@ from resight.session import saved, saved_counting
 
 WINDOW = 35
 GRAM = 6
-HOT = 20_000
+HOT = 60_000
 SHARD_WORDS = 400_000
 LONGEST_RUN = 256  # windows; longer runs (periodic text) are cut
 _ODD = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -141,12 +141,15 @@ def _single_windows(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame:
                 part = batch.slice(lo, hi - lo)
                 words = Words(*utf8(part.column("text")))
                 rid = part.column("rid").to_numpy()
+                got = []
                 for i, spans in enumerate(part.column("runs").to_pylist()):
                     sums = _spans(words.hash[words.first[i] : words.first[i + 1]])
                     start = np.unique(np.concatenate([np.arange(s["start"], s["start"] + s["size"]) for s in spans]))
                     whole = _span_hash(sums, start, start + window)
                     one = np.ones(len(start), np.int64)
-                    yield _arrow(_RUN, [np.full(len(start), rid[i]), start, one, mix(whole), one, whole])
+                    got.append((np.full(len(start), rid[i]), start, one, mix(whole), one, whole))
+                if got:
+                    yield _arrow(_RUN, [np.concatenate(c) for c in zip(*got, strict=True)])
 
     return docs.join(wanted, "rid").select("rid", "text", "runs").mapInArrow(run, _RUN_SCHEMA)
 
