@@ -3,9 +3,10 @@
 A page is cut into blocks at block-level tags. Scripts, styles and markup go; so does everything inside
 navigation, headers, footers, asides, forms and elements whose class, id or role names them as such. Pass one
 decides the other blocks by length, stop-word density and link density. Pass two gives blocks too short or too
-unclear to decide the label of the nearest decided block (before and after; on a draw the later one). Inside
-``<article>`` or ``<main>``, if the page has one, an undecided block stays good unless links fill it, because the
-page itself says that this is its text.
+unclear to decide the label of the nearest decided block (before and after; on a draw the later one).
+``<article>`` and ``<main>`` are one feature among these: the limits are lower inside and higher outside, labels do
+not pass from one side to the other, and where a side has none, its blocks are good only inside. If the marked
+part holds little of the good text, the page is taken as one without marks.
 
 Cases: null or empty html gives empty text; unclosed tags end with their container; a cut-off tag at the end is
 markup; repeated rows come out alike; other columns are ignored; an empty table gives an empty result.
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 SHORT = 10  # words: shorter blocks are not decided in pass one
 STOP_DENSITY = 0.15
 LINK_DENSITY = 0.4
-ARTICLE_LINK_DENSITY = 0.9  # inside article or main
+INSIDE = (0.08, 0.6)  # stop-word and link density inside article or main
+OUTSIDE = (0.2, 0.2)  # the same outside, on pages that have one
+LITTLE = 0.3  # share of the good words that the marked part must hold
 
 # Frequent function words of English, German, French, Spanish.
 STOP_WORDS = frozenset(
@@ -138,44 +141,67 @@ def blocks(page: str) -> tuple[list[Block], bool]:
     return out, marked
 
 
-def classify(found: list[Block], marked: bool) -> list[bool]:
-    """Good or not for every block: rules first, then neighbours."""
+@dataclass
+class _Words:
+    n: int
+    stops: float
+    links: float
+
+
+def _measure(b: Block) -> _Words:
+    text = b.text()
+    words = [w.lower() for w in _WORD.findall(text)]
+    return _Words(len(words), sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0, b.linked / max(len(text), 1))
+
+
+def _decide(found: list[Block], sizes: list[_Words], marked: bool) -> list[bool | None]:
     decided: list[bool | None] = []
-    for b in found:
-        text = b.text()
-        words = [w.lower() for w in _WORD.findall(text)]
-        density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        links = b.linked / max(len(text), 1)
-        if marked and not b.inside:
-            decided.append(False)
-        elif links > (ARTICLE_LINK_DENSITY if b.inside else LINK_DENSITY):
+    for b, w in zip(found, sizes, strict=True):
+        inside = marked and b.inside
+        stops, links = INSIDE if inside else OUTSIDE if marked else (STOP_DENSITY, LINK_DENSITY)
+        if w.links > links and not (inside and w.n < SHORT and w.links <= 0.9):
             decided.append(False)
-        elif len(words) >= SHORT and density >= STOP_DENSITY:
+        elif w.n >= SHORT * (2 if marked and not inside else 1) and w.stops >= stops:
             decided.append(True)
-        elif marked and len(words) >= SHORT:
-            decided.append(True)
-        elif len(words) >= 3 * SHORT:
-            decided.append(density >= STOP_DENSITY / 3)
+        elif w.n >= 3 * SHORT and not inside:  # inside it may be a list or a language without known stop words
+            decided.append(w.stops >= stops / 3 and not marked)
         else:
             decided.append(None)
+    return decided
+
+
+def _inherit(found: list[Block], decided: list[bool | None], marked: bool) -> list[bool]:
     n = len(found)
     before, after = [None] * n, [None] * n
-    for i in range(n):
-        before[i] = i if decided[i] is not None else (before[i - 1] if i else None)
-    for i in range(n - 1, -1, -1):
-        after[i] = i if decided[i] is not None else (after[i + 1] if i + 1 < n else None)
+    for order, nearest in ((range(n), before), (range(n - 1, -1, -1), after)):
+        last: dict[bool, int] = {}
+        for i in order:
+            side = marked and found[i].inside
+            if decided[i] is not None:
+                last[side] = i
+            nearest[i] = last.get(side)
     out = []
     for i, d in enumerate(decided):
-        if d is None and found[i].inside and marked:
-            d = True
-        elif d is None:
+        if d is None:
             lo, hi = before[i], after[i]
             near = hi if lo is None or (hi is not None and hi - i <= i - lo) else lo
-            d = decided[near] if near is not None else marked
+            d = decided[near] if near is not None else marked and found[i].inside
         out.append(bool(d))
     return out
 
 
+def classify(found: list[Block], marked: bool) -> list[bool]:
+    """Good or not for every block: rules first, then neighbours."""
+    sizes = [_measure(b) for b in found]
+    if marked:
+        plain = _inherit(found, _decide(found, sizes, False), False)
+        good = sum(w.n for w, g in zip(sizes, plain, strict=True) if g)
+        held = sum(w.n for b, w, g in zip(found, sizes, plain, strict=True) if g and b.inside)
+        if held < LITTLE * good:
+            return plain
+    return _inherit(found, _decide(found, sizes, marked), marked)
+
+
 def main_text(page: str | None) -> str:
     found, marked = blocks(page or "")
     texts = [b.text() for b, good in zip(found, classify(found, marked), strict=True) if good]

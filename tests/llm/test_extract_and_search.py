@@ -79,3 +79,19 @@ def test_blocks_of_a_hot_part(spark, monkeypatch):
     got = learned_partitions.search(table, F.col("vec_id") % 100 == 0, mass=1.1).orderBy("query_id", "rank").collect()
     want = brute(rows)
     assert [(r.query_id, r.vec_id) for r in got] == [(q, v) for q in sorted(want) for _, v in want[q]]
+
+
+PROSE = "the story of the man and the sea is told by one who was there in the end and it is long"
+
+
+def test_article_is_one_feature_of_blocks():
+    body = f"<div><p>{PROSE} one</p><p>So it was.</p><p>{PROSE} two</p><p>{PROSE} three</p></div>"
+    want = f"{PROSE} one So it was. {PROSE} two {PROSE} three"
+    assert html_text.main_text(f"<article><h2>Short teaser</h2></article>{body}").endswith(want)
+    # a part outside the article, and a list of links with its short heading at the end of the article
+    tags = " ".join(f"tag{i}" for i in range(40))
+    linked = f"<div>Read</div><p>now <a href=x>{tags}</a> of the day</p><div>More</div>"
+    page = f"<article><p>{PROSE} one</p><p>{PROSE} two</p>{linked}</article><div>{PROSE} four</div>"
+    assert html_text.main_text(page) == f"{PROSE} one {PROSE} two {PROSE} four"
+    # words of a language without known stop words stay
+    assert html_text.main_text(f"<article><p>{tags}</p></article>") == tags
