@@ -1,7 +1,8 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. Scripts, styles and markup go; so does everything inside
-navigation, headers, footers, asides, forms and elements whose class, id or role names them as such. Pass one
+A page is cut into blocks at block-level tags. Scripts, styles and markup go; so do controls such as buttons, and
+navigation, headers, footers, asides and elements with a class, id or role that names them as such, unless
+such an element holds the page's only ``<article>`` or ``<main>``, or nearly all of the good text. Pass one
 decides the other blocks by length, stop-word density and link density. Pass two gives blocks too short or too
 unclear to decide the label of the nearest decided block (before and after; on a draw the later one).
 ``<article>`` and ``<main>`` are one feature among these: the limits are lower inside and higher outside, labels do
@@ -29,6 +30,7 @@ LINK_DENSITY = 0.4
 INSIDE = (0.08, 0.6)  # stop-word and link density inside article or main
 OUTSIDE = (0.2, 0.2)  # the same outside, on pages that have one
 LITTLE = 0.3  # share of the good words that the marked part must hold
+MOST = 0.8  # share of the good words that frees a skipped element
 
 # Frequent function words of English, German, French, Spanish.
 STOP_WORDS = frozenset(
@@ -43,9 +45,9 @@ BLOCK_TAGS = frozenset(
     "tfoot th thead title tr ul".split()
 )
 SKIPPED_TAGS = frozenset(
-    "head title nav footer aside form button select textarea input label option menu dialog noscript iframe object svg "
-    "canvas template audio video map".split()
+    "head title button select textarea input label option noscript iframe object svg canvas template audio video map".split()
 )
+SIDE_TAGS = frozenset("nav footer aside menu dialog".split())
 RAW_TAGS = ("script", "style", "textarea", "template", "noscript", "iframe", "svg", "title")
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED_NAMES = frozenset(
@@ -54,12 +56,11 @@ SKIPPED_NAMES = frozenset(
     "menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer header masthead topbar comment comments "
     "disqus reply replies respond related recommended widget toolbar skip".split()
 )
-_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*(?:>|$)|</?[a-zA-Z][^<>]*$", re.S
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_NAME = re.compile(r"[a-z]+")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW_TAGS}
 _WORD = re.compile(r"\w+")
 
@@ -67,6 +68,7 @@ _WORD = re.compile(r"\w+")
 @dataclass
 class Block:
     inside: bool  # of article or main
+    sides: tuple[int, ...] = ()  # side elements around
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -80,23 +82,35 @@ def _named_out(attributes: str) -> bool:
         if name.lower() == "role":
             if value in _ROLES:
                 return True
-        elif not SKIPPED_NAMES.isdisjoint(_NAME.findall(value)):
+        elif not SKIPPED_NAMES.isdisjoint(value.split()):
             return True
     return False
 
 
-def blocks(page: str) -> tuple[list[Block], bool]:
-    """The blocks outside skipped elements, in page order, and whether the page marks its article."""
-    out, open_ = [], []  # open_: (tag, skipped, main) of the elements around
+@dataclass
+class Side:
+    """A side element, which is skipped unless freed."""
+
+    inside: bool  # of article or main
+    holds: bool = False  # an article or main
+
+
+def blocks(page: str) -> tuple[list[Block], list[Side], bool]:
+    """The blocks outside skipped elements, in page order, the side elements, and whether an article is in none of them."""
+    out, open_, sides = [], [], []  # open_: (tag, skipped, main, side) of the elements around
     skipped = mains = links = 0
+    around: list[int] = []
     marked = False
     now = Block(False)
 
-    def end() -> None:
+    def fresh() -> None:
         nonlocal now
+        now = Block(mains > 0, tuple(around))
+
+    def end() -> None:
         if now.parts:
             out.append(now)
-        now = Block(mains > 0)
+        fresh()
 
     def add(text: str) -> None:
         if text and not skipped:
@@ -111,34 +125,47 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         if not m[2]:
             continue
         tag = m[2].lower()
+        closed = m[3].rstrip().endswith("/")
         if tag in BLOCK_TAGS:
             end()
         if m[1]:
-            if any(t == tag for t, _, _ in open_):
+            if any(t == tag for t, *_ in open_):
+                if any(side for *_, side in open_[max(i for i, o in enumerate(open_) if o[0] == tag) :]):
+                    end()
                 while True:
-                    t, s, a = open_.pop()
+                    t, s, a, side = open_.pop()
                     skipped, mains, links = skipped - s, mains - a, links - (t == "a")
+                    if side:
+                        around.pop()
                     if t == tag:
                         break
-                if tag in BLOCK_TAGS:
-                    now = Block(mains > 0)
+                if tag in BLOCK_TAGS or len(around) != len(now.sides):
+                    fresh()
+        elif tag == "svg" and closed:
+            continue
         elif tag in _RAW_END:
             stop = _RAW_END[tag].search(page, at)
             at = stop.end() if stop else len(page)
-        elif tag in ("script", "style"):
-            at = len(page)
-        elif tag not in VOID_TAGS and not m[3].rstrip().endswith("/"):
+        elif tag not in VOID_TAGS and not closed:
             main = tag in ("article", "main")
+            skip = tag in SKIPPED_TAGS
             # a header outside the article is the site's; inside it is the article's own
-            skip = tag in SKIPPED_TAGS or (tag == "header" and not mains) or (tag not in ("html", "body") and not main and _named_out(m[3]))
-            open_.append((tag, skip, main))
+            side = tag in SIDE_TAGS or (tag == "header" and not mains) or (tag not in ("html", "body") and not main and _named_out(m[3]))
+            if side:
+                end()
+                around.append(len(sides))
+                sides.append(Side(mains > 0))
+            if main and not skipped:
+                marked |= not around
+                for i in around:
+                    sides[i].holds = True
+            open_.append((tag, skip, main, side))
             skipped, mains, links = skipped + skip, mains + main, links + (tag == "a")
-            marked |= main and not skipped
-            if tag in BLOCK_TAGS:
-                now = Block(mains > 0)
+            if tag in BLOCK_TAGS or side:
+                fresh()
     add(page[at:])
     end()
-    return out, marked
+    return out, sides, marked
 
 
 @dataclass
@@ -202,8 +229,28 @@ def classify(found: list[Block], marked: bool) -> list[bool]:
     return _inherit(found, _decide(found, sizes, marked), marked)
 
 
+def _kept(page: str) -> tuple[list[Block], bool]:
+    """The blocks in no side element, or only in freed ones, and whether any is marked."""
+    found, sides, marked = blocks(page)
+    free = {i for i, s in enumerate(sides) if s.holds and not s.inside and not marked}
+    if sides:
+        sizes = [_measure(b) for b in found]
+        plain = _inherit(found, _decide(found, sizes, False), False)
+        good = [(b, w.n) for b, w, g in zip(found, sizes, plain, strict=True) if g]
+        total = sum(n for _, n in good)
+        held = [0] * len(sides)
+        for b, n in good:
+            for i in b.sides:
+                held[i] += n
+        own = sum(n for b, n in good if b.inside and not b.sides)
+        if total >= 3 * SHORT and own < 3 * SHORT:
+            free |= {i for i, n in enumerate(held) if n > MOST * total}
+    kept = [b for b in found if free.issuperset(b.sides)]
+    return kept, any(b.inside for b in kept)
+
+
 def main_text(page: str | None) -> str:
-    found, marked = blocks(page or "")
+    found, marked = _kept(page or "")
     texts = [b.text() for b, good in zip(found, classify(found, marked), strict=True) if good]
     return " ".join(t for t in texts if t)
 

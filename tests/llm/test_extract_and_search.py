@@ -95,3 +95,24 @@ def test_article_is_one_feature_of_blocks():
     assert html_text.main_text(page) == f"{PROSE} one {PROSE} two {PROSE} four"
     # words of a language without known stop words stay
     assert html_text.main_text(f"<article><p>{tags}</p></article>") == tags
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class='layout has-sidebar'><article><p>{PROSE}</p></article></div>", PROSE),
+        (f"<div id='no-header'><p>{PROSE}</p></div>", PROSE),
+        (f"<section class='side-effects'><p>{PROSE}</p></section><p>{PROSE}</p>", f"{PROSE} {PROSE}"),
+        (f"<form action=x><input name=q><p>{PROSE}</p><p>{PROSE}</p><button>Send</button></form>", f"{PROSE} {PROSE}"),
+        (f"<article><div class='entry-header'><h1>Title</h1></div><p>{PROSE}</p></article>", f"Title {PROSE}"),
+        (f"<p>{PROSE}</p><svg width=1 /><p>{PROSE} two</p>", f"{PROSE} {PROSE} two"),
+        (f"<p>{PROSE}</p><svg><text>x</text></svg><p>{PROSE} two</p>", f"{PROSE} {PROSE} two"),
+        # a side element that holds the only article, or nearly all of the text, but not comments beside an article
+        (f"<div class='notice'><article><p>{PROSE}</p></article></div>", PROSE),
+        (f"<div class='banner'><p>{PROSE}</p><p>{PROSE}</p></div><p>So it was.</p>", f"{PROSE} {PROSE} So it was."),
+        (f"<article><p>{PROSE} {PROSE}</p></article><div class='comments'><article>{PROSE * 9}</article></div>", f"{PROSE} {PROSE}"),
+        (f"<p>{PROSE}</p><span class='ad'>buy</span> it", f"{PROSE} it"),
+    ],
+)
+def test_wrappers_do_not_hide_the_text(page, text):
+    assert html_text.main_text(page) == text
