@@ -75,7 +75,7 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k ON k.node = d.doc_id
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines.dedup_lines(read(spark, sf_dir, "documents")).select(
+    return fuzzy_lines.dedup_lines(read(spark, sf_dir, "documents"), short=True).select(
         "doc_id",
         "n_lines",
         "n_dropped",
