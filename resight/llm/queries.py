@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.llm import fuzzy_lines, html_text, language, learned_partitions, line_crf, minhash, mixing, packing, quality_rules, substrings
+from resight.llm import fuzzy_lines, html_text, language, learned_partitions, line_crf, merkle, minhash, mixing, packing, quality_rules, substrings
 from resight.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,6 +210,69 @@ SELECT m.doc_id, n::BIGINT AS n_words, c::BIGINT AS n_removed, sha256(coalesce(e
 FROM m LEFT JOIN e USING (doc_id)
 """
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of ``documents`` by language, and the check of a copy in which every third text is lower-cased."""
+    docs = read(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    leaves = docs.select(
+        merkle.group_key(F.col("lang")).alias("g"),
+        "doc_id",
+        merkle.leaf_hash(*fields, F.col("text")).alias("leaf"),
+        F.when(changed, merkle.leaf_hash(*fields, lower)).alias("tampered"),
+    )
+    folded = merkle.folded(F.coalesce("tampered", "leaf"))
+    rows = merkle.manifest(leaves, "tampered").withColumn("folded_root", folded)
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_hash().alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+OP12_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT *, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower FROM documents
+), x AS (
+  SELECT doc_id, coalesce('+' || lang, '') AS g, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS front, text, translate(text, upper, lower) AS low FROM t
+), crc(doc_id, rest, c) AS (
+  SELECT doc_id, doc_id::VARCHAR, 4294967295::BIGINT FROM documents UNION ALL
+  SELECT doc_id, rest[2:], list_reduce([xor(c, ascii(rest))] || range(8), lambda a, i: xor(a >> 1, 3988292384 * (a & 1))) FROM crc WHERE rest <> ''
+), d AS (
+  SELECT doc_id, g, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(front || coalesce(strlen(low) || ':' || low, '-')) AS low_leaf, xor(c, 4294967295) % 3 = 0 AS changed
+  FROM x JOIN crc USING (doc_id) WHERE rest = ''
+), n(g, lvl, idx, h, m) AS (
+  SELECT g, 0, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1, leaf, count(*) OVER (PARTITION BY g) FROM d
+  UNION ALL
+  SELECT g, lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), any_value(m + 7) // 8 FROM n WHERE m > 1 GROUP BY g, lvl, idx // 8
+), s AS (
+  SELECT g, lvl AS depth, h, row_number() OVER (ORDER BY g) - 1 AS idx FROM n WHERE m = 1
+), u(lvl, idx, h, m) AS (
+  SELECT 0, idx, h, count(*) OVER () FROM s UNION ALL
+  SELECT lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), any_value(m + 7) // 8 FROM u WHERE m > 1 GROUP BY lvl, idx // 8
+), tree AS (
+  SELECT n.g, lvl, n.idx, n.h FROM n WHERE m > 1 UNION ALL
+  SELECT s.g, s.depth + u.lvl, u.idx, u.h FROM s, u WHERE u.m > 1
+), runs AS (
+  SELECT g, lvl, idx // 8 AS run, list(h ORDER BY idx) AS hs FROM tree GROUP BY g, lvl, idx // 8
+), f(doc_id, g, lvl, idx, h, proof) AS (
+  SELECT doc_id, d.g, 0, n.idx, CASE WHEN changed THEN low_leaf ELSE leaf END, '' FROM d JOIN n ON n.g = d.g AND n.lvl = 0 AND n.h = d.leaf
+  UNION ALL
+  SELECT f.doc_id, f.g, f.lvl + 1, CASE WHEN f.lvl + 1 = s.depth THEN s.idx ELSE k // 8 END,
+    sha256(array_to_string(hs[:k % 8], '') || f.h || array_to_string(hs[k % 8 + 2:], '')),
+    proof || array_to_string(hs[:k % 8], '') || array_to_string(hs[k % 8 + 2:], '')
+  FROM (SELECT f.*, CASE WHEN f.lvl = 0 AND s.depth = 0 THEN s.idx ELSE f.idx END AS k FROM f JOIN s USING (g)) f
+    JOIN s ON s.g = f.g JOIN runs r ON r.g = f.g AND r.lvl = f.lvl AND r.run = f.k // 8
+)
+SELECT d.doc_id, d.leaf, s.h AS subroot, u.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = u.h AS verified
+FROM d JOIN s USING (g) JOIN u ON u.m = 1
+  JOIN f ON f.doc_id = d.doc_id AND f.lvl = s.depth + u.lvl
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_quality_crf": op2_quality_crf,
@@ -220,10 +284,12 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_html_text": op9_html_text,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op5_minhash": OP5_SQL,
     "op7_quality_rules": OP7_SQL,
     "op8_mixing": OP8_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
