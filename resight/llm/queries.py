@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.llm import fuzzy_lines, html_text, language, learned_partitions, line_crf, merkle, minhash, mixing, packing, quality_rules, substrings
+from resight.llm import divergence, fuzzy_lines, html_text, language, learned_partitions, line_crf, merkle, minhash, mixing, packing, quality_rules, substrings
 from resight.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,6 +210,44 @@ SELECT m.doc_id, n::BIGINT AS n_words, c::BIGINT AS n_removed, sha256(coalesce(e
 FROM m LEFT JOIN e USING (doc_id)
 """
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), w AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*)::HUGEINT AS n FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 3
+), v AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS t FROM k GROUP BY lang
+), c AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY lang, source, term
+), g AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce((SELECT sum(n) FROM c WHERE c.lang = x.lang AND c.source = x.source), 0)::HUGEINT AS t
+  FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN v USING (lang)
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // (g.t + g.v) AS p,
+    1 + 1000000000 * (k.n + 1) // (v.t + v.v) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM r
+QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of ``documents`` by language, and the check of a copy in which every third text is lower-cased."""
     docs = read(spark, sf_dir, "documents")
@@ -284,6 +322,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_html_text": op9_html_text,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_source_divergence": op11_source_divergence,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
@@ -291,5 +330,6 @@ ORACLES: dict[str, str] = {
     "op7_quality_rules": OP7_SQL,
     "op8_mixing": OP8_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op11_source_divergence": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
 }
