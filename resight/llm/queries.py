@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resight.llm import divergence, fuzzy_lines, html_text, language, learned_partitions, line_crf, merkle, minhash, mixing, packing, quality_rules, substrings
+from resight.llm import disclosure, divergence, fuzzy_lines, html_text, language, learned_partitions, line_crf, merkle, minhash, mixing, packing, quality_rules, substrings
 from resight.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -311,6 +311,90 @@ FROM d JOIN s USING (g) JOIN u ON u.m = 1
 """
 
 
+def op13_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = disclosure.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        *[F.size(f"spans_{k}").cast("long").alias(f"n_{k}") for k in disclosure.KINDS],
+        F.sha2(disclosure.span_list(*disclosure.KINDS), 256).alias("base_sha256"),
+        disclosure.span_list(*disclosure.KINDS, *disclosure.ACTIONS).alias("spans"),
+    )
+
+
+OP13_SQL = r"""
+WITH r AS (
+  SELECT *, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS term,
+    '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+|[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+|\+[0-9][\x20().0-9-]+[0-9]|[0-9]([\x20-]?[0-9]){15,}' AS entity
+  FROM (VALUES (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'), (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+    (3, 'card', '[0-9]([\x20-]?[0-9])+'), (4, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')) r(k, kind, pattern)
+), d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents
+), m AS (
+  SELECT row, k, regexp_extract_all(t, pattern) AS ms, string_split_regex(t, pattern) AS gs FROM d, r
+), x AS (
+  SELECT row, k, i, ms[i] AS m, gs[i] AS g FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM m)
+), y AS (
+  SELECT row, k, m, sum(length(g) + length(m)) OVER (PARTITION BY row, k ORDER BY i) AS e, regexp_replace(m, '[^0-9]', '', 'g') AS n FROM x
+), z AS (
+  SELECT row, k, e - length(m) AS s, e, n FROM y WHERE CASE k WHEN 1 THEN true WHEN 4 THEN length(n) BETWEEN 8 AND 15
+    WHEN 2 THEN len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 OR right('00' || p, 3) > '255')) = 0
+    ELSE length(n) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(n) + 1), lambda i: CASE WHEN i % 2 = 1 THEN n[-i]::INT
+      WHEN n[-i]::INT > 4 THEN 2 * n[-i]::INT - 9 ELSE 2 * n[-i]::INT END)) % 10 = 0 END
+), c AS (
+  SELECT row, regexp_extract_all(t, entity) AS f, string_split_regex(t, entity) AS g FROM d, r WHERE k = 1
+), gt AS (
+  SELECT row, f, g, list_transform(g, lambda x: regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), term)) AS ts
+  FROM c, r WHERE k = 1
+), ne AS (
+  SELECT row, f[i] AS m, ts[i][-8:] || ts[i + 1][:8] AS terms, regexp_replace(f[i], '[^0-9]', '', 'g') AS n
+  FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM gt)
+), near AS (
+  SELECT row, terms, list_distinct(terms || list_transform(list_filter(terms, lambda t: length(t) > 3), lambda t: left(t, 3) || '*')) AS features,
+    CASE WHEN contains(m, '@') THEN 'email:' || lower(m) WHEN m LIKE '+%' THEN CASE WHEN length(n) BETWEEN 8 AND 15 THEN 'phone:' || n END
+      WHEN contains(m, '.') THEN CASE WHEN len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 OR right('00' || p, 3) > '255')) = 0 THEN 'ip:' || m END
+      WHEN length(n) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(n) + 1), lambda i: CASE WHEN i % 2 = 1 THEN n[-i]::INT
+        WHEN n[-i]::INT > 4 THEN 2 * n[-i]::INT - 9 ELSE 2 * n[-i]::INT END)) % 10 = 0 THEN 'card:' || n END AS entity FROM ne
+), w AS (
+  SELECT DISTINCT entity, terms, features FROM near WHERE entity IS NOT NULL
+), pe AS (
+  SELECT entity, count(*) AS n_e FROM w GROUP BY entity HAVING count(*) >= 3
+), j AS (
+  SELECT entity, feature, count(*) AS j FROM (SELECT entity, unnest(features) AS feature FROM w) GROUP BY ALL HAVING count(*) >= 3
+), b AS (
+  SELECT entity, feature, count(DISTINCT row) AS near FROM (SELECT row, entity, unnest(features) AS feature FROM near) GROUP BY ALL
+), dt AS (
+  SELECT row, list_distinct(flatten(ts)) AS ts FROM gt
+), df AS (
+  SELECT feature, count(*) AS docs FROM (SELECT unnest(list_distinct(ts || list_transform(list_filter(ts, lambda t: length(t) > 3),
+    lambda t: left(t, 3) || '*'))) AS feature FROM dt) GROUP BY feature
+), q AS (
+  SELECT DISTINCT feature FROM j JOIN pe USING (entity) JOIN b USING (entity, feature) JOIN df USING (feature), (SELECT count(*)::DOUBLE AS n FROM d)
+  WHERE ln(n / n_e) > 0 AND ln(j * n / ((j + docs - near) * n_e)) >= 0.9 * ln(n / n_e)
+), a AS (
+  SELECT feature AS t, CASE WHEN length(feature) > 3 AND left(feature, 3) || '*' NOT IN (FROM q) THEN 5 ELSE 6 END AS k
+  FROM q WHERE feature NOT LIKE '%*'
+), l AS (
+  SELECT row, gi, gap, translate(gap, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    sum(length(gap) + before) OVER (PARTITION BY row ORDER BY gi) - length(gap) AS start
+  FROM (SELECT row, gi, g[gi] AS gap, CASE WHEN gi = 1 THEN 0 ELSE length(f[gi - 1]) END AS before FROM (SELECT *, unnest(range(1, len(g) + 1)) AS gi FROM gt
+    SEMI JOIN (SELECT row FROM (SELECT row, unnest(ts) AS t FROM dt) SEMI JOIN a USING (t)) h USING (row)))
+), o AS (
+  SELECT row, start, ws[i] AS t, sum(length(ps[i]) + length(ws[i])) OVER (PARTITION BY row, gi ORDER BY i) AS e
+  FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM (SELECT row, gi, start, regexp_extract_all(low, term) AS ws, string_split_regex(low, term) AS ps FROM l, r WHERE k = 1))
+), u AS (
+  SELECT row, k, s, e FROM z UNION ALL SELECT row, k, start + e - length(t), start + e FROM o JOIN a USING (t)
+), v AS (
+  SELECT row, count(*) FILTER (k = 1) AS n1, count(*) FILTER (k = 2) AS n2, count(*) FILTER (k = 3) AS n3, count(*) FILTER (k = 4) AS n4,
+    string_agg(['email', 'ip', 'card', 'phone'][k] || ':' || s || ':' || e, ',' ORDER BY k, s) FILTER (k < 5) AS base,
+    string_agg(['email', 'ip', 'card', 'phone', 'generalise', 'remove'][k] || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans
+  FROM u GROUP BY row
+)
+SELECT doc_id, coalesce(n1, 0)::BIGINT AS n_email, coalesce(n2, 0)::BIGINT AS n_ip, coalesce(n3, 0)::BIGINT AS n_card, coalesce(n4, 0)::BIGINT AS n_phone,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN v USING (row)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_quality_crf": op2_quality_crf,
@@ -324,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_source_divergence": op11_source_divergence,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_disclosure": op13_disclosure,
 }
 ORACLES: dict[str, str] = {
     "op5_minhash": OP5_SQL,
@@ -332,4 +417,5 @@ ORACLES: dict[str, str] = {
     "op10_substring_dedup": OP10_SQL,
     "op11_source_divergence": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
+    "op13_disclosure": OP13_SQL,
 }
