@@ -324,7 +324,7 @@ def op13_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP13_SQL = r"""
 WITH r AS (
   SELECT *, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS term,
-    '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+|[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+|\+[0-9][\x20().0-9-]+[0-9]|[0-9]([\x20-]?[0-9]){15,}' AS entity
+    '[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+|[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+|\+[0-9][\x20().0-9-]+[0-9]|[0-9]([\x20-]?[0-9]){15,}' AS entity
   FROM (VALUES (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'), (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
     (3, 'card', '[0-9]([\x20-]?[0-9])+'), (4, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')) r(k, kind, pattern)
 ), d AS (
