@@ -48,6 +48,15 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_WORD = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+
+def _words(text: str) -> list[str]:
+    """Split at Unicode white space, the tokenizer's; str.split also splits at the four separator controls."""
+    return _WORD.findall(text) if any(c in text for c in _SEPARATORS) else text.split()
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter by which byte-level models write each byte: printable Latin-1 as itself, the rest from 256 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -97,7 +106,7 @@ class _Encoder:
         return found + marks
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        split = [(t or "").split() for t in texts]  # Unicode white space: the tokenizer's \\s
+        split = [_words(t or "") for t in texts]
         if len(self.known) > _CACHED:
             self.forget()
         new = list({w for words in split for w in words}.difference(self.known))

@@ -38,7 +38,8 @@ def check(rows, texts):
 
 def test_round_trip_of_odd_texts(spark):
     long = "Straße naïve 中文字 don't é  x <|endoftext|> " * 700
-    texts = {1: None, 2: "", 3: "Hello,\tWorld\x0b!", 4: long, 5: "a " * 2047, 6: "a " * 2048, 7: " ", 8: "b " * 5000}
+    texts = {1: None, 2: "", 3: "Hello,\tWorld\x0b!", 4: long, 5: "a " * 2047, 6: "a " * 2048, 7: " ", 8: "b " * 5000,
+             9: "a\x1cb", 10: "a\x1f b \x1d\x1ec\u2028d\x85e\u180ef\u200bg"}
     docs = spark.createDataFrame([(k, v, "clash") for k, v in texts.items()], SCHEMA)
     check(packing.pack(docs).collect(), texts)
 
