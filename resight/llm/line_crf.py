@@ -4,8 +4,9 @@ Every line with a word has shape measurements (capitals, digits, symbols, word l
 and its neighbours'. The field labels lines good or bad; training lines take the label of their document.
 A document's quality is the mean of its lines' forward-backward marginals, weighted by length.
 
-Training uses at most ``CHAINS`` stretches of at most ``STRETCH`` lines (those of smallest hash), a bound that
-does not grow with the corpus; it runs in one task on that sample. Scoring reads every whole text.
+Training uses at most ``LABELLED`` labelled rows and of them ``CHAINS`` stretches of at most ``STRETCH`` lines (those of
+smallest hash), bounds that do not grow with the corpus; it runs in one task on that sample. The labels go to the
+texts, so no text is shuffled. Scoring reads every whole text.
 
 Cases: null text and text without a word get the share of good training stretches; without training rows
 every score is 0.5; repeated rows score alike; other columns are ignored; an empty table stays empty.
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from resight.llm.chains import Chains
 from resight.llm.word_arrays import Words, pieces, utf8
 
+LABELLED = 10_000
 CHAINS = 3000
 STRETCH = 128
 _STEPS = 150
@@ -166,6 +168,12 @@ def fit(first: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np
     return theta[:-4], theta[-4:].reshape(2, 2)
 
 
+def sample_labels(labels: DataFrame, label: str = "quality", n: int = LABELLED) -> DataFrame:
+    """(doc_id, label) of at most ``n`` labelled rows: those of smallest hash."""
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select("doc_id", label)
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id", label).limit(n)
+
+
 def train(docs: DataFrame, label: str = "quality", chains: int = CHAINS) -> dict | None:
     """Fit on a bounded sample of the labelled rows: ``weights``, ``trans`` and the share of good stretches."""
 

@@ -25,8 +25,8 @@ def _held_out() -> Column:
 
 def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
-    model = line_crf.train(docs.select("doc_id", "text").filter(~_held_out()).join(labels, "doc_id"))
+    labels = line_crf.sample_labels(read(spark, sf_dir, "labels").filter(~_held_out()))
+    model = line_crf.train(docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id"))
     return line_crf.score(docs, model).select(
         "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
