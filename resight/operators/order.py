@@ -1,30 +1,20 @@
-"""The total order of a listing, and its split into bounded blocks.
+"""The total order of a listing.
 
-File order is not kept by a distributed engine, so every order-dependent operator takes an
-``Order``: the columns rows are sorted by (nulls last) and the block levels that cut one group
-into pieces. Each level is a never-null number that does not fall as the order advances.
+File order is not kept by a distributed engine, so every order-dependent operator takes an ``Order``: the columns
+rows are sorted by, nulls last.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 20  # 2^20 sequence numbers per block, so never more rows than that in one
-_NO_DAY = 1 << 30
-
 
 @dataclass(frozen=True)
 class Order:
     columns: tuple[str, ...]
-    blocks: Callable[[], tuple[Column, ...]]
-
-    @property
-    def levels(self) -> tuple[Column, ...]:
-        return self.blocks()
 
     def key(self) -> Column:
         """Comparable value of the order, nulls last."""
@@ -43,20 +33,10 @@ class Order:
 
 
 def by_date(date: str = "date", seq: str = "photo_seq") -> Order:
-    """(date, unique sequence number): blocks are days, cut further by sequence range."""
-
-    def blocks() -> tuple[Column, ...]:
-        day = F.coalesce(F.unix_date(F.col(date).cast("date")).cast("bigint"), F.lit(_NO_DAY))
-        return day, F.shiftright(F.col(seq), BLOCK_BITS)
-
-    return Order((date, seq), blocks)
+    """(date, unique sequence number)."""
+    return Order((date, seq))
 
 
 def by_sequence(seq: str = "photo_seq") -> Order:
-    """A unique sequence number alone: two levels of sequence ranges."""
-
-    def blocks() -> tuple[Column, ...]:
-        n = F.col(seq)
-        return F.shiftright(n, 2 * BLOCK_BITS), F.shiftright(n, BLOCK_BITS)
-
-    return Order((seq,), blocks)
+    """A unique sequence number alone."""
+    return Order((seq,))

@@ -1,111 +1,98 @@
 """Operators that walk a group in order: fills, gaps, sessions, running counts.
 
-A plain ``partitionBy(id)`` window would put every row of an individual into one task. Here a
-large group is cut into blocks (see :mod:`resight.operators.order`); a window runs inside a block,
-one small row per block carries the state forward, and blocks are walked level by level. A group
-that fits a task is one block and needs no carrying.
+A plain ``partitionBy(id)`` window would put every row of an individual into one task. Here the rows are dealt once
+into ranges of (key, order), whatever the sizes of the groups: a range is a segment, a large group lies in several of
+them. A window runs inside (segment, key), one small row per (segment, key) says what it holds, and a window over
+those rows carries the state from segment to segment. The carry table is joined back once, for all values together.
+
+The ranged rows are written, so both passes and a retried task see the same segments.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resight.functions.dates import wall_micros
-from resight.operators.order import Order, by_sequence
-from resight.operators.skew import group_sizes, join_back, mark_large
+from resight.operators.order import Order
+from resight.session import saved
 
 _MINUTE = 60_000_000  # microseconds
 _DAY = 1440 * _MINUTE
 
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
-_ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
+SEGMENT = "_segment"
 
 
-def _carry(blocks: DataFrame, key: str, levels: Sequence[str], up: bool) -> DataFrame:
-    """Value entering each block, from the blocks before it (after it when ``up``).
+def segmented(rows: DataFrame, key: str, sort: Sequence[Column]) -> DataFrame:
+    """Rows with the ``_segment`` they lie in: segments ascend with (key, order), rows without a key come first."""
+    ranged = rows.repartitionByRange(F.col(key).asc_nulls_first(), *sort)
+    return saved(ranged.withColumn(SEGMENT, F.spark_partition_id()))
 
-    ``blocks`` has one row per (key, levels) with ``v``, the value leaving the block, and
-    ``head``, the first value found in it. Adds ``carried`` and ``key_head``, the first value of
-    the whole key.
-    """
-    outer, inner = list(levels[:-1]), levels[-1]
-    order = F.col(inner).desc() if up else F.col(inner).asc()
-    within = Window.partitionBy(key, *outer).orderBy(order)
-    here = blocks.withColumn("carried", F.last("v", ignorenulls=True).over(within.rowsBetween(*_BEFORE)))
-    if not outer:
-        return here.withColumn("key_head", F.first("head", ignorenulls=True).over(within.rowsBetween(*_ALL)))
-    nearest = F.min_by if up else F.max_by
-    farthest = F.max_by if up else F.min_by
-    parents = blocks.groupBy(key, *outer).agg(
-        nearest("v", F.when(F.col("v").isNotNull(), F.col(inner))).alias("v"),
-        farthest("head", F.when(F.col("head").isNotNull(), F.col(inner))).alias("head"),
-    )
-    above = _carry(parents, key, outer, up).select(
-        key, *outer, F.col("carried").alias("carried_above"), "key_head"
-    )
-    return here.join(above, [key, *outer], "left").withColumn(
-        "carried", F.coalesce("carried", "carried_above")
-    ).drop("carried_above")
+
+def _within(key: str, sort: Sequence[Column]):
+    return Window.partitionBy(SEGMENT, key).orderBy(*sort)
+
+
+def _earlier(key: str):
+    """Over one row per (segment, key): the segments before this one."""
+    return Window.partitionBy(key).orderBy(SEGMENT).rowsBetween(*_BEFORE)
+
+
+def _later(key: str):
+    return Window.partitionBy(key).orderBy(F.desc(SEGMENT)).rowsBetween(*_BEFORE)
 
 
 def fill_group(
     rows: DataFrame,
     key: str,
-    value: str,
+    value: str | Sequence[str],
     order: Order,
     direction: str = "down",
-    out: str | None = None,
+    out: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Fill nulls of ``value`` from the nearest earlier ("down") or later ("up") row of the group.
 
-    "downup" fills down, then up; "updown" the reverse. Rows with a null key are left as they are.
+    "downup" fills down, then up; "updown" the reverse. Several values are filled in the same pass. Rows with a null
+    key are left as they are.
     """
     if direction not in ("down", "up", "downup", "updown"):
         raise ValueError(f"unknown fill direction: {direction}")
-    out = out or value
+    values = [value] if isinstance(value, str) else list(value)
+    outs = values if out is None else [out] if isinstance(out, str) else list(out)
     up, both = direction.startswith("up"), direction in ("downup", "updown")
-    cut, names = _cut(rows, key, order)
-
-    at = F.when(F.col(value).isNotNull(), order.key())
-    nearest, farthest = (F.min_by, F.max_by) if up else (F.max_by, F.min_by)
-    blocks = (
-        cut.filter(F.col("_parts").isNotNull())
-        .groupBy(key, *names)
-        .agg(nearest(value, at).alias("v"), farthest(value, at).alias("head"))
-    )
-    carried = _carry(blocks, key, names, up).select(
-        key, *names, F.col("carried").alias("_carried"), F.col("key_head").alias("_head")
-    )
 
-    inside = Window.partitionBy(key, *names).orderBy(*(order.descending() if up else order.ascending()))
-    filled = cut.withColumn("_local", F.last(value, ignorenulls=True).over(inside.rowsBetween(*_UP_TO)))
-    steps = [F.col("_local"), F.col("_carried")]
-    if both:
-        # Only rows before the first value of the group are still empty, and that value is what
-        # they get: found by the window in a one-block group, carried along in a cut one.
-        filled = filled.withColumn("_first", F.first(value, ignorenulls=True).over(inside.rowsBetween(*_ALL)))
-        steps.append(F.when(F.col("_parts").isNull(), F.col("_first")).otherwise(F.col("_head")))
-    new = F.when(F.col(key).isNull(), F.col(value)).otherwise(F.coalesce(*steps))
+    inside = _within(key, order.descending() if up else order.ascending()).rowsBetween(*_UP_TO)
+    cut = segmented(rows, key, order.ascending())
+    local = cut.withColumns({f"_local{i}": F.last(v, ignorenulls=True).over(inside) for i, v in enumerate(values)})
+
+    ends = []
+    for i, v in enumerate(values):
+        at = F.when(F.col(v).isNotNull(), order.key())
+        ends += [F.min_by(v, at).alias(f"_head{i}"), F.max_by(v, at).alias(f"_tail{i}")]
+    carry = cut.filter(F.col(key).isNotNull()).groupBy(SEGMENT, key).agg(*ends)
+    carried = {}
+    for i in range(len(values)):
+        carried[f"_before{i}"] = F.last(f"_tail{i}", ignorenulls=True).over(_earlier(key))
+        carried[f"_after{i}"] = F.last(f"_head{i}", ignorenulls=True).over(_later(key))
+    carry = carry.withColumns(carried)
+
+    def filled(i: int, v: str) -> Column:
+        down = [f"_before{i}", f"_head{i}", f"_after{i}"]  # beyond the first two, only rows before any value are empty
+        steps = [f"_after{i}", f"_tail{i}", f"_before{i}"] if up else down
+        new = F.coalesce(f"_local{i}", *(steps if both else steps[:1]))
+        return F.when(F.col(key).isNull(), F.col(v)).otherwise(new)
+
     return (
-        filled.join(carried, [key, *names], "left")
-        .withColumn(out, new)
-        .select(*dict.fromkeys([*rows.columns, out]))
+        local.join(carry, [SEGMENT, key], "left")
+        .withColumns({o: filled(i, v) for i, (o, v) in enumerate(zip(outs, values, strict=True))})
+        .select(*dict.fromkeys([*rows.columns, *outs]))
     )
 
 
-def _cut(rows: DataFrame, key: str, order: Order) -> tuple[DataFrame, list[str]]:
-    """Block columns: those of the order for large groups and for rows without a key, else zero."""
-    names = [f"_block{i}" for i in range(len(order.levels))]
-    marked = mark_large(rows, [key], group_sizes(rows, [key]))
-    split = F.col("_parts").isNotNull() | F.col(key).isNull()
-    levels = [F.when(split, level).otherwise(F.lit(0)).cast("bigint") for level in order.levels]
-    return marked.withColumns(dict(zip(names, levels))), names
-
-
 def _bucketed(rows: DataFrame, ts: str, bucket_minutes: int) -> DataFrame:
     """Cut time at most ``bucket_minutes`` wide and never across midnight."""
     micros = wall_micros(ts)
@@ -148,32 +135,25 @@ def session_buckets(rows: DataFrame, key: str, ts: str, gap_minutes: int = 30) -
 
 
 def running_number(rows: DataFrame, key: str, order: Order, out: str) -> DataFrame:
-    """Position of each row in its group (1, 2, ...), walked block by block."""
-    cut, names = _cut(rows, key, order)
-    inside = Window.partitionBy(key, *names).orderBy(*order.ascending())
-    sizes = cut.filter(F.col("_parts").isNotNull()).groupBy(key, *names).agg(F.count(F.lit(1)).alias("n"))
-    offsets = _offsets(sizes, key, names).select(key, *names, "before")
+    """Position of each row in its group (1, 2, ...)."""
+    cut = segmented(rows, key, order.ascending())
+    sizes = cut.filter(F.col(key).isNotNull()).groupBy(SEGMENT, key).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select(SEGMENT, key, F.sum("_n").over(_earlier(key)).alias("_ahead"))
     return (
-        cut.withColumn("_local", F.row_number().over(inside))
-        .join(offsets, [key, *names], "left")
-        .withColumn(out, F.col("_local") + F.coalesce("before", F.lit(0)))
+        cut.withColumn("_local", F.row_number().over(_within(key, order.ascending())))
+        .join(before, [SEGMENT, key], "left")
+        .withColumn(out, F.col("_local") + F.coalesce("_ahead", F.lit(0)))
         .select(*rows.columns, out)
     )
 
 
-def _offsets(blocks: DataFrame, key: str, levels: Sequence[str]) -> DataFrame:
-    outer, inner = list(levels[:-1]), levels[-1]
-    within = Window.partitionBy(key, *outer).orderBy(inner).rowsBetween(*_BEFORE)
-    here = blocks.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    if not outer:
-        return here
-    parents = blocks.groupBy(key, *outer).agg(F.sum("n").alias("n"))
-    above = _offsets(parents, key, outer).select(key, *outer, F.col("before").alias("above"))
-    return (
-        here.join(above, [key, *outer], "left")
-        .withColumn("before", F.col("before") + F.col("above"))
-        .drop("above")
-    )
+def _timed(rows: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
+    """Segments in order of time, then ``seq``, rows without time last; ``_micros`` and, inside a segment, ``_previous``
+    and the row's ``_place``."""
+    sort = [F.col(ts).asc_nulls_last(), F.col(seq).asc_nulls_last()]
+    cut = segmented(rows.withColumn("_micros", wall_micros(ts)), key, sort)
+    inside = _within(key, sort)
+    return cut.withColumns({"_previous": F.lag("_micros").over(inside), "_place": F.row_number().over(inside)})
 
 
 def sessionize(
@@ -181,64 +161,49 @@ def sessionize(
 ) -> DataFrame:
     """Add ``encounter_id``, numbered from 1 within each key.
 
-    A record without time is an encounter of its own, numbered after the timed ones. Records without
-    a key stay, with a null ``encounter_id``.
+    A new session starts when more than ``gap_minutes`` passed since the previous record of the key; exactly the gap
+    still belongs to it. A record without time is an encounter of its own, numbered after the timed ones. Records
+    without a key stay, with a null ``encounter_id``.
     """
-    buckets = session_buckets(rows, key, ts, gap_minutes)
-    timed = join_back(
-        _bucketed(rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()), ts, gap_minutes),
-        buckets.select(key, "_day", "_bucket", "group_rows", "encounter_id"),
-        [key, "_day", "_bucket"],
-        [seq],
-    ).drop("_micros", "_day", "_bucket")
-    untimed = rows.filter(F.col(key).isNotNull() & F.col(ts).isNull())
-    totals = buckets.groupBy(key).agg(F.max("encounter_id").alias("_sessions"))
-    numbered = (
-        running_number(untimed, key, by_sequence(seq), "_number")
-        .join(totals, key, "left")
-        .withColumn("encounter_id", F.col("_number") + F.coalesce("_sessions", F.lit(0)))
-        .drop("_number", "_sessions")
-    )
-    keyless = rows.filter(F.col(key).isNull()).withColumn("encounter_id", F.lit(None).cast("bigint"))
-    return timed.unionByName(numbered).unionByName(keyless)
-
 
-def gap_to_previous(rows: DataFrame, key: str, ts: str, seq: str, bucket_minutes: int = 5) -> DataFrame:
-    """Minutes since the previous record of the key (``gap_minutes``), null for the first one.
-
-    Records of one key at the same instant are reduced to one row before the window, so a burst
-    does not land in one task; all but the first of them have a gap of zero.
-    """
-    timed = rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    instants = timed.groupBy(key, ts).agg(
-        F.min(seq).alias("_first_seq"), F.count(F.lit(1)).alias("group_rows")
+    def starts(now: str, before: str) -> Column:
+        far = F.col(now) - F.col(before) > gap_minutes * _MINUTE
+        return F.when(F.col(now).isNull() | F.col(before).isNull() | far, 1).otherwise(0)
+
+    # whether the first row of a segment starts a session is only known from the segments before it
+    inside = _within(key, [F.col("_place")]).rowsBetween(*_UP_TO)
+    local = _timed(rows, key, ts, seq)
+    local = local.withColumn("_new", F.when(F.col("_place") > 1, starts("_micros", "_previous")).otherwise(0))
+    carry = (
+        local.filter(F.col(key).isNotNull())
+        .groupBy(SEGMENT, key)
+        .agg(F.min("_micros").alias("_first"), F.max("_micros").alias("_last"), F.sum("_new").alias("_inner"))
+        .withColumn("_last_before", F.last("_last", ignorenulls=True).over(_earlier(key)))
+        .withColumn("_opens", starts("_first", "_last_before"))
+        .withColumn("_ahead", F.coalesce(F.sum(F.col("_inner") + F.col("_opens")).over(_earlier(key)), F.lit(0)))
+        .select(SEGMENT, key, (F.col("_ahead") + F.col("_opens")).alias("_ahead"))
     )
-    marked = mark_large(instants, [key], group_sizes(instants, [key]))
-    large = F.col("_parts").isNotNull()
-    cut = _bucketed(marked, ts, bucket_minutes).withColumns(
-        {
-            "_day": F.when(large, F.col("_day")).otherwise(F.lit("1970-01-01").cast("date")),
-            "_bucket": F.when(large, F.col("_bucket")).otherwise(F.lit(0)),
-        }
+    return (
+        local.withColumn("_within", F.sum("_new").over(inside))
+        .join(carry, [SEGMENT, key], "left")
+        .withColumn("encounter_id", F.col("_ahead") + F.col("_within"))
+        .select(*rows.columns, "encounter_id")
     )
-    ends = cut.filter(large).groupBy(key, "_day", "_bucket").agg(F.max("_micros").alias("_end"))
-    before = ends.select(
-        key,
-        "_day",
-        "_bucket",
-        F.lag("_end").over(Window.partitionBy(key).orderBy("_day", "_bucket")).alias("_end_before"),
+
+
+def gap_to_previous(rows: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
+    """Minutes since the previous record of the key (``gap_minutes``), null for the first one; records of the same
+    instant follow each other by ``seq``."""
+    local = _timed(rows, key, ts, seq)
+    carry = (
+        local.filter(F.col(key).isNotNull())
+        .groupBy(SEGMENT, key)
+        .agg(F.max("_micros").alias("_last"))
+        .select(SEGMENT, key, F.last("_last", ignorenulls=True).over(_earlier(key)).alias("_last_before"))
     )
-    inside = Window.partitionBy(key, "_day", "_bucket").orderBy("_micros")
-    gap = F.col("_micros") - F.coalesce("_previous", "_end_before")
-    gaps = (
-        cut.withColumn("_previous", F.lag("_micros").over(inside))
-        .join(before, [key, "_day", "_bucket"], "left")
-        .select(key, ts, "group_rows", "_first_seq", (gap / F.lit(_MINUTE)).alias("_gap"))
+    gap = F.col("_micros") - F.coalesce("_previous", "_last_before")
+    return (
+        local.join(carry, [SEGMENT, key], "left")
+        .withColumn("gap_minutes", F.when(F.col(key).isNotNull(), gap / F.lit(_MINUTE)))
+        .select(*rows.columns, "gap_minutes")
     )
-    joined = join_back(rows, gaps, [key, ts], [seq])
-    return joined.withColumn(
-        "gap_minutes",
-        F.when(F.col(seq) == F.col("_first_seq"), F.col("_gap")).when(
-            F.col("_first_seq").isNotNull(), F.lit(0.0)
-        ),
-    ).drop("_first_seq", "_gap")

@@ -69,8 +69,7 @@ def clean_dorsal(listing: DataFrame) -> DataFrame:
             "film": kw.medium("keyword", "year"),
         }
     )
-    filled = fill_group(placed, "id", "sex", FILE_ORDER, "downup")
-    filled = fill_group(filled, "id", "biopsy", FILE_ORDER, "downup")
+    filled = fill_group(placed, "id", ["sex", "biopsy"], FILE_ORDER, "downup")
     sex = F.coalesce("sex", F.lit(kw.UNKNOWN))
     return filled.withColumns(
         {

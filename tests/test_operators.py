@@ -26,12 +26,20 @@ def rows():
     return out
 
 
-@pytest.fixture(params=["wide blocks", "narrow blocks"])
-def blocks(request, monkeypatch):
-    """The same results whether a group is one block or very many."""
-    if request.param == "narrow blocks":
-        monkeypatch.setattr(order, "BLOCK_BITS", 2)
+@pytest.fixture(params=["one segment", "many segments"])
+def blocks(request, monkeypatch, spark):
+    """The same results whether a group lies in one segment or in very many."""
+    n = "1"
+    if request.param == "many segments":
         monkeypatch.setattr(skew, "PART_ROWS", 7)
+        n = "40"
+    settings = {"spark.sql.shuffle.partitions": n, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
 
 
 def frame(spark, rows):
@@ -79,6 +87,34 @@ def test_fill_keeps_values_and_rows(spark, rows, blocks):
     assert out.filter("sex is not null and (filled is null or filled != sex)").count() == 0
 
 
+@pytest.mark.parametrize("direction", ["downup", "updown"])
+def test_fill_several_values_in_one_pass(spark, rows, blocks, direction):
+    df = frame(spark, rows).withColumn("sparse", F.when(F.col("photo_seq") % 50 == 7, F.col("photo_seq")))
+    both = scans.fill_group(df, "id", ["sex", "sparse"], DATES, direction, ["s", "n"])
+    got = {r["photo_seq"]: (r["s"], r["n"]) for r in both.collect()}
+    for who in {r[1] for r in rows} - {None}:
+        ordered = in_order(rows, who)
+        want = zip(fill([r[3] for r in ordered], direction), fill([r[0] if r[0] % 50 == 7 else None for r in ordered], direction))
+        assert [got[r[0]] for r in ordered] == list(want)
+
+
+def test_a_hot_group_lies_in_many_segments(spark, rows, blocks, request):
+    cut = scans.segmented(frame(spark, rows), "id", DATES.ascending())
+    per = cut.groupBy("_segment").count().collect()
+    assert sum(r["count"] for r in per) == len(rows)
+    if "many" in request.node.callspec.id:
+        assert max(r["count"] for r in per) < len(rows) / 8
+        assert cut.filter("id = 'hot'").select("_segment").distinct().count() > 8
+
+
+def test_scans_of_an_empty_table(spark):
+    empty = frame(spark, [])
+    assert scans.fill_group(empty, "id", "sex", DATES, "downup").collect() == []
+    timed = spark.createDataFrame([], "seq bigint, id string, ts timestamp_ntz")
+    assert scans.sessionize(timed, "id", "ts", "seq").collect() == []
+    assert scans.gap_to_previous(timed, "id", "ts", "seq").collect() == []
+
+
 def test_fill_unknown_direction(spark, rows):
     with pytest.raises(ValueError):
         scans.fill_group(frame(spark, rows), "id", "sex", DATES, "sideways")
