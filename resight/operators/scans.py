@@ -93,47 +93,6 @@ def fill_group(
     )
 
 
-def _bucketed(rows: DataFrame, ts: str, bucket_minutes: int) -> DataFrame:
-    """Cut time at most ``bucket_minutes`` wide and never across midnight."""
-    micros = wall_micros(ts)
-    return rows.withColumns(
-        {
-            "_micros": micros,
-            "_day": F.col(ts).cast("date"),
-            "_bucket": F.floor(F.pmod(micros, F.lit(_DAY)) / F.lit(bucket_minutes * _MINUTE)).cast("int"),
-        }
-    )
-
-
-def session_buckets(rows: DataFrame, key: str, ts: str, gap_minutes: int = 30) -> DataFrame:
-    """Sessions from one row per (key, time bucket).
-
-    A new session starts when more than ``gap_minutes`` passed since the previous record of the
-    key; exactly the gap still belongs to it. A bucket is no wider than the gap, so it lies in one
-    session and its first and last time are all that matters. Records are reduced to those before
-    any shuffle, and the window below sees at most one row per gap length of calendar time,
-    however many records the key has.
-    """
-    timed = rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    buckets = (
-        _bucketed(timed, ts, gap_minutes)
-        .groupBy(key, "_day", "_bucket")
-        .agg(
-            F.min("_micros").alias("start"),
-            F.max("_micros").alias("end"),
-            F.count(F.lit(1)).alias("group_rows"),
-        )
-    )
-    w = Window.partitionBy(key).orderBy("_day", "_bucket")
-    previous = F.lag("end").over(w)
-    is_new = previous.isNull() | (F.col("start") - previous > gap_minutes * _MINUTE)
-    return (
-        buckets.withColumn("_new", is_new.cast("int"))
-        .withColumn("encounter_id", F.sum("_new").over(w.rowsBetween(*_UP_TO)))
-        .drop("_new")
-    )
-
-
 def running_number(rows: DataFrame, key: str, order: Order, out: str) -> DataFrame:
     """Position of each row in its group (1, 2, ...)."""
     cut = segmented(rows, key, order.ascending())
@@ -147,63 +106,94 @@ def running_number(rows: DataFrame, key: str, order: Order, out: str) -> DataFra
     )
 
 
-def _timed(rows: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
-    """Segments in order of time, then ``seq``, rows without time last; ``_micros`` and, inside a segment, ``_previous``
-    and the row's ``_place``."""
-    sort = [F.col(ts).asc_nulls_last(), F.col(seq).asc_nulls_last()]
-    cut = segmented(rows.withColumn("_micros", wall_micros(ts)), key, sort)
-    inside = _within(key, sort)
-    return cut.withColumns({"_previous": F.lag("_micros").over(inside), "_place": F.row_number().over(inside)})
-
-
-def sessionize(
-    rows: DataFrame, key: str, ts: str, seq: str, gap_minutes: int = 30
+def _with_sessions(
+    rows: DataFrame, key: str, sort: Sequence[Column], begin: str, end: str, gap_minutes: int
 ) -> DataFrame:
-    """Add ``encounter_id``, numbered from 1 within each key.
-
-    A new session starts when more than ``gap_minutes`` passed since the previous record of the key; exactly the gap
-    still belongs to it. A record without time is an encounter of its own, numbered after the timed ones. Records
-    without a key stay, with a null ``encounter_id``.
-    """
+    """Add ``encounter_id`` to rows that last from ``begin`` to ``end`` (microseconds, both null last in order)."""
 
     def starts(now: str, before: str) -> Column:
         far = F.col(now) - F.col(before) > gap_minutes * _MINUTE
         return F.when(F.col(now).isNull() | F.col(before).isNull() | far, 1).otherwise(0)
 
+    inside = _within(key, sort)
+    local = segmented(rows, key, sort).withColumns(
+        {"_previous": F.lag(end).over(inside), "_place": F.row_number().over(inside)}
+    )
     # whether the first row of a segment starts a session is only known from the segments before it
-    inside = _within(key, [F.col("_place")]).rowsBetween(*_UP_TO)
-    local = _timed(rows, key, ts, seq)
-    local = local.withColumn("_new", F.when(F.col("_place") > 1, starts("_micros", "_previous")).otherwise(0))
+    local = local.withColumn("_new", F.when(F.col("_place") > 1, starts(begin, "_previous")).otherwise(0))
     carry = (
         local.filter(F.col(key).isNotNull())
         .groupBy(SEGMENT, key)
-        .agg(F.min("_micros").alias("_first"), F.max("_micros").alias("_last"), F.sum("_new").alias("_inner"))
+        .agg(F.min(begin).alias("_first"), F.max(end).alias("_last"), F.sum("_new").alias("_inner"))
         .withColumn("_last_before", F.last("_last", ignorenulls=True).over(_earlier(key)))
         .withColumn("_opens", starts("_first", "_last_before"))
         .withColumn("_ahead", F.coalesce(F.sum(F.col("_inner") + F.col("_opens")).over(_earlier(key)), F.lit(0)))
         .select(SEGMENT, key, (F.col("_ahead") + F.col("_opens")).alias("_ahead"))
     )
+    numbered = F.sum("_new").over(_within(key, [F.col("_place")]).rowsBetween(*_UP_TO))
     return (
-        local.withColumn("_within", F.sum("_new").over(inside))
+        local.withColumn("_within", numbered)
         .join(carry, [SEGMENT, key], "left")
         .withColumn("encounter_id", F.col("_ahead") + F.col("_within"))
         .select(*rows.columns, "encounter_id")
     )
 
 
+def _by_time(ts: str, seq: str) -> list[Column]:
+    return [F.col(ts).asc_nulls_last(), F.col(seq).asc_nulls_last()]
+
+
+def sessionize(
+    rows: DataFrame, key: str, ts: str, seq: str, gap_minutes: int = 30
+) -> DataFrame:
+    """Add ``encounter_id``, numbered from 1 within each key.
+
+    A new session starts when more than ``gap_minutes`` passed since the previous record of the key; exactly the gap
+    still belongs to it. A record without time is an encounter of its own, numbered after the timed ones. Records
+    without a key stay, with a null ``encounter_id``.
+    """
+    timed = rows.withColumn("_micros", wall_micros(ts))
+    return _with_sessions(timed, key, _by_time(ts, seq), "_micros", "_micros", gap_minutes).drop("_micros")
+
+
+def session_buckets(rows: DataFrame, key: str, ts: str, gap_minutes: int = 30) -> DataFrame:
+    """Sessions from one row per (key, time bucket): ``start``, ``end``, ``group_rows`` and ``encounter_id``.
+
+    A bucket is no wider than the gap, so it lies in one session and its first and last time are all that matters.
+    Records are reduced to those before any shuffle, and the buckets of a key are walked segment by segment, over
+    however long a time. Records without key or time have no bucket.
+    """
+    micros = wall_micros(ts)
+    width = F.lit(gap_minutes * _MINUTE)
+    buckets = (
+        rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+        .withColumns(
+            {
+                "_micros": micros,
+                "_day": F.col(ts).cast("date"),
+                "_bucket": F.floor(F.pmod(micros, F.lit(_DAY)) / width).cast("int"),  # never across midnight
+            }
+        )
+        .groupBy(key, "_day", "_bucket")
+        .agg(F.min("_micros").alias("start"), F.max("_micros").alias("end"), F.count(F.lit(1)).alias("group_rows"))
+    )
+    return _with_sessions(buckets, key, [F.col("start").asc()], "start", "end", gap_minutes)
+
+
 def gap_to_previous(rows: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
     """Minutes since the previous record of the key (``gap_minutes``), null for the first one; records of the same
     instant follow each other by ``seq``."""
-    local = _timed(rows, key, ts, seq)
+    cut = segmented(rows.withColumn("_micros", wall_micros(ts)), key, _by_time(ts, seq))
     carry = (
-        local.filter(F.col(key).isNotNull())
+        cut.filter(F.col(key).isNotNull())
         .groupBy(SEGMENT, key)
         .agg(F.max("_micros").alias("_last"))
         .select(SEGMENT, key, F.last("_last", ignorenulls=True).over(_earlier(key)).alias("_last_before"))
     )
-    gap = F.col("_micros") - F.coalesce("_previous", "_last_before")
+    previous = F.coalesce(F.lag("_micros").over(_within(key, _by_time(ts, seq))), "_last_before")
     return (
-        local.join(carry, [SEGMENT, key], "left")
-        .withColumn("gap_minutes", F.when(F.col(key).isNotNull(), gap / F.lit(_MINUTE)))
+        cut.join(carry, [SEGMENT, key], "left")
+        .withColumn("_gap", F.col("_micros") - previous)
+        .withColumn("gap_minutes", F.when(F.col(key).isNotNull(), F.col("_gap") / F.lit(_MINUTE)))
         .select(*rows.columns, "gap_minutes")
     )

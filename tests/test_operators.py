@@ -179,6 +179,33 @@ def test_exactly_the_gap_stays_in_one_session(spark):
     assert got == {0: 1, 1: 1, 2: 2}
 
 
+def test_session_buckets_as_sessions(spark, sightings, blocks):
+    df = spark.createDataFrame(sightings, "seq bigint, id string, ts timestamp_ntz")
+    got = {}
+    for r in scans.session_buckets(df, "id", "ts").collect():
+        first, last, n = got.get((r["id"], r["encounter_id"]), (r["start"], r["end"], 0))
+        got[r["id"], r["encounter_id"]] = min(first, r["start"]), max(last, r["end"]), n + r["group_rows"]
+    want, ids = {}, sessions(sightings)[0]
+    epoch = dt.datetime(1970, 1, 1)
+    for seq, who, ts in sightings:
+        if who and ts:
+            at = (ts - epoch) // dt.timedelta(microseconds=1)
+            first, last, n = want.get((who, ids[seq]), (at, at, 0))
+            want[who, ids[seq]] = min(first, at), max(last, at), n + 1
+    assert got == want
+
+
+def test_a_long_time_of_one_key_is_walked_in_segments(spark, blocks, request):
+    """Four years of one record every 20 minutes with a break every 1000: no segment holds more than its share."""
+    n = 100_000
+    df = spark.range(n).selectExpr("'a' AS id", "timestamp_seconds(1200 * id + 3600 * (id div 1000)) AS ts")
+    out = scans.session_buckets(df, "id", "ts")
+    assert out.agg(F.max("encounter_id")).first()[0] == n // 1000
+    if "many" in request.node.callspec.id:
+        window = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Window [" in line and "lag" in line]
+        assert window and all("_segment" in line for line in window)
+
+
 def test_attach_group_splits_large_groups(spark, rows):
     df = frame(spark, rows)
     out = skew.attach_group(df, ["id"], [F.max("date").alias("last")], ["photo_seq"], part_rows=5)
