@@ -12,7 +12,7 @@ from resight.registry import products as pr
 from resight.registry.core import register
 from resight.registry.grouped import base, final
 from resight.session import scratch_dir
-from resight.sources import driver, readers, writers
+from resight.sources import driver, readers, sheets, writers
 
 LISTING = ["photo_seq", *[readers.snake(c) for c in readers.LISTING_COLUMNS]]
 
@@ -70,10 +70,100 @@ register(
     nullif(date_original, '') AS date_original, true AS has_source FROM listing""",
 )
 
+def _write_lines(df, path, names, mode="error"):
+    """CSV of plain values without any quoting, so that a comma in a value makes a field of its own."""
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("NA")) for c in df.columns])
+    df.select(line.alias(",".join(names))).write.mode(mode).option("header", True).option("sep", "\x01").csv(path)
+
+
+BROKEN = b"\x1f\x8b\x08\x00 not a compressed sheet"
+
+
+def _sheets(spark, d):
+    """As :func:`_folders`, with a field too many in every 97th line of the second folder, and a file that cannot be
+    read."""
+    root = fresh(spark, "sheets")
+    rows = _published(spark, d).withColumn("n", F.col("photo_seq").cast("bigint"))
+    surplus = F.when(F.col("n") % 97 == 0, F.concat(F.coalesce("date_original", F.lit("")), F.lit(",more"))).otherwise(F.col("date_original"))
+    out = rows.withColumn("date_original", F.when(F.col("n") % 3 == 1, surplus).otherwise(F.col("date_original")))
+    full = ["File name", "Latitude", "Longitude", "Date Original"]
+    for i, names in enumerate((full, full, ["Latitude", "File.name", "Date.Original"])):
+        columns = [readers.snake(c) for c in names]
+        _write_lines(out.filter(F.col("n") % 3 == i).select(*columns), f"{root}/year/part{i}", names)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/broken/part3.csv.gz")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(bytearray(BROKEN))
+    stream.close()
+    return sheets.read_sheets(spark, root, imports.REQUIRED)
+
+
+def _per_folder(spark, d):
+    found = sheets.file_status(_sheets(spark, d)).withColumn("folder", F.regexp_extract("source_file", "(part[0-9])[^a-z]", 1))
+    sums = [F.sum(c).alias(c) for c in ("n_rows", "n_bad", "n_unnamed")]
+    return found.groupBy("folder", "state").agg(*sums)
+
+
 register(
     "q5_file_status",
-    lambda spark, d: readers.file_status(_folders(spark, d).withColumn("source_file", F.regexp_extract("source_file", "(part[0-9])/[^/]*$", 1))),
-    """SELECT 'part' || photo_seq % 3 AS file, count(*) AS n_rows, 0 AS n_bad, 0 AS n_unnamed FROM listing GROUP BY 1""",
+    _per_folder,
+    """SELECT 'part' || photo_seq % 3 AS folder, 'read' AS state, count(*) AS n_rows, count(*) FILTER (photo_seq % 3 = 1 AND photo_seq % 97 = 0) AS n_bad,
+    count(*) FILTER (coalesce(file_name, '') = '') AS n_unnamed FROM listing GROUP BY 1 UNION ALL SELECT 'part3', 'unreadable', 0, 0, 0""",
+)
+register(
+    "s2_sheets_by_header",
+    lambda spark, d: _sheets(spark, d).rows.select(*imports.REQUIRED, F.col("bad_record").isNotNull().alias("bad")),
+    """SELECT nullif(file_name, '') AS file_name, nullif(latitude, '') AS latitude, CASE WHEN photo_seq % 3 <> 2 THEN nullif(longitude, '') END AS longitude,
+    nullif(date_original, '') AS date_original, photo_seq % 3 = 1 AND photo_seq % 97 = 0 AS bad FROM listing""",
+)
+register(
+    "d33_bad_lines",
+    lambda spark, d: sheets.bad_records(_sheets(spark, d)).select("bad_record"),
+    """SELECT concat_ws(',', coalesce(file_name, 'NA'), coalesce(latitude, 'NA'), coalesce(longitude, 'NA'), coalesce(date_original, '') || ',more') AS bad_record
+    FROM listing WHERE photo_seq % 3 = 1 AND photo_seq % 97 = 0""",
+)
+
+
+def _per_file(spark, d):
+    """Encounters of each sheet written to a folder of its own, and read back with the sheet they come from."""
+    rows = imports.to_encounters(_sheets(spark, d).rows, {"encounter_genus": "Hyperoodon"})
+    per_file, _ = writers.write_per_source(rows, fresh(spark, "encounters"))
+    schema = (
+        "encounter_media_asset0 string, encounter_genus string, encounter_decimal_latitude double, "
+        "encounter_decimal_longitude double, encounter_year int, encounter_month int, encounter_day int, source string"
+    )
+    back = spark.read.csv(per_file, schema=schema, header=True)
+    return back.withColumn("source", F.regexp_extract("source", "(part[0-9])[^a-z]", 1))
+
+
+register(
+    "d33_per_file",
+    _per_file,
+    """SELECT replace(file_name, '.JPG', '.jpg') AS encounter_media_asset0, 'Hyperoodon' AS encounter_genus, latitude AS encounter_decimal_latitude,
+    CASE WHEN photo_seq % 3 <> 2 THEN longitude END AS encounter_decimal_longitude, year AS encounter_year, month(date) AS encounter_month,
+    day(date) AS encounter_day, 'part' || photo_seq % 3 AS source FROM derived""",
+)
+
+
+def _broken_lines(spark, d):
+    """Listing with line breaks in every fifth title and a field too many in every 97th record."""
+    rows = _published(spark, d).withColumn("n", F.col("photo_seq").cast("bigint"))
+    columns = ["photo_seq", *readers.LISTING_COLUMNS]
+    title = F.when(F.col("n") % 5 == 0, F.concat(F.coalesce("title", F.lit("")), F.lit('\nsays "second, line"'))).otherwise(F.col("title"))
+    good = rows.filter("n % 97 <> 0").withColumn("title", title).drop("n").toDF(*columns)
+    path = writers.write_csv(good, fresh(spark, "listing"), "list_view", "v1")
+    longitude = F.concat(F.coalesce("longitude", F.lit("")), F.lit(",more"))
+    fields = {c: F.lit("x") for c in map(readers.snake, readers.LISTING_COLUMNS)} | {"title": F.lit("t"), "longitude": longitude}
+    bad = rows.filter("n % 97 = 0").select("photo_seq", *[v.alias(c) for c, v in fields.items()])
+    _write_lines(bad, path, columns, "append")
+    return readers.read_listing(spark, path, columns, multi_line=True, bad_records=True)
+
+
+register(
+    "s1_bad_records",
+    lambda spark, d: _broken_lines(spark, d).select("photo_seq", "title", "longitude", F.col("bad_record").isNotNull().alias("bad")),
+    """SELECT CAST(photo_seq AS VARCHAR) AS photo_seq, CASE WHEN photo_seq % 97 = 0 THEN 't' WHEN photo_seq % 5 = 0
+    THEN coalesce(title, '') || chr(10) || 'says "second, line"' ELSE nullif(title, '') END AS title, nullif(longitude, '') AS longitude,
+    photo_seq % 97 = 0 AS bad FROM listing""",
 )
 
 

@@ -68,15 +68,30 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_listing(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] = LISTING_COLUMNS
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Sequence[str] = LISTING_COLUMNS,
+    multi_line: bool = False,
+    bad_records: bool = False,
 ) -> DataFrame:
     """Listing CSV, every column as text; the header must name the columns in this order.
 
-    Quoted fields may hold line breaks only if ``multiLine`` is set, which stops a file from
-    being split, so it is left off: a listing has one line per photo.
+    ``multi_line`` reads quoted line breaks as part of their field; a file is then one task, so a long listing
+    should be exported in several files. ``bad_records`` adds ``bad_record``, the text of a record whose number of
+    fields is not the header's (its leading fields are read nevertheless).
     """
-    raw = spark.read.csv(
-        path, schema=text_schema(columns), header=True, enforceSchema=False, nullValue="NA"
+    schema = text_schema(columns)
+    if bad_records:
+        schema = schema.add("bad_record", T.StringType())
+    raw = spark.read.option("columnPruning", str(not bad_records).lower()).csv(
+        path,
+        schema=schema,
+        header=True,
+        enforceSchema=False,
+        nullValue="NA",
+        multiLine=multi_line,
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord="bad_record",
     )
     return blank_to_null(normalise_headers(raw))
 
@@ -114,31 +129,11 @@ def read_folder_csvs(
     )
 
 
-def csv_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by header line, for :func:`read_import_sheets`.
-
-    One pass over the text in which only a line per file leaves a task. The result is a list of
-    file names, which the driver holds for any read of these files.
-    """
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .text(root)
-        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-        .filter("at = 0")
-    )
-    first = lines.groupBy("file").agg(F.first("value").alias("header"))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in first.toLocalIterator():
-        names = tuple(h.strip().strip('"') for h in row["header"].lstrip("﻿").split(","))
-        groups.setdefault(names, []).append(row["file"])
-    return groups
-
-
 def read_import_sheets(
     spark: SparkSession, sheets: Mapping[tuple[str, ...], str | Sequence[str]], required: Sequence[str]
 ) -> DataFrame:
-    """Sheets with differing headers, one read per header, united by name, gaps as null."""
+    """Sheets of a few known headers, one read per header, united by name, gaps as null. Folders of sheets with unknown
+    headers are read by :mod:`resight.sources.sheets`."""
     frames = []
     for header, paths in sheets.items():
         # Without pruning a line of the wrong width is seen whichever columns are asked for.
@@ -159,16 +154,6 @@ def read_import_sheets(
     return out
 
 
-def file_status(sheets: DataFrame, name: str = "file_name") -> DataFrame:
-    """Rows, rows that did not fit and rows without a file name, per source path: a bad file shows
-    here and does not stop the others."""
-    return sheets.groupBy(F.col("source_file").alias("file")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count("bad_record").alias("n_bad"),
-        F.count_if(F.col(name).isNull()).alias("n_unnamed"),
-    )
-
-
 ENCOUNTER_SCHEMA = T.StructType().add(
     "task",
     T.StructType().add(

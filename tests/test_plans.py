@@ -10,7 +10,7 @@ from resight.plans import (
     annual, base, catalogues, exports, finalize, imports, keyword_conflicts as kc, label_history as lh, label_qa,
     metadata, rating_runs, renames, stats,
 )
-from resight.sources import readers, writers
+from resight.sources import readers, sheets, writers
 
 LISTING = "photo_seq bigint, file_name string, title string, date_original string, keyword_export string, rating string, latitude string, longitude string"
 
@@ -277,12 +277,11 @@ def test_import_sheets_with_different_headers(spark, tmp_path):
     (tmp_path / "x" / "one.csv").write_text("File name,Latitude,Longitude,Date Original\nA.JPG,1.5,2.5,2025-07-14 10:00:00\n,1,2,2025-07-14 10:00:00\n")
     (tmp_path / "x" / "y" / "two.csv").write_text("File.name,Latitude,Date Original\nB.JPG,1,7/14/2025 1:05:22 PM\nC.JPG,1,2025-07-15,extra,fields\n")
     (tmp_path / "x" / "notes.txt").write_text("no sheet")
-    headers = readers.csv_headers(spark, str(tmp_path))
-    assert {h: len(f) for h, f in headers.items()} == {("File name", "Latitude", "Longitude", "Date Original"): 1, ("File.name", "Latitude", "Date Original"): 1}
-    sheets = readers.read_import_sheets(spark, headers, imports.REQUIRED)
-    status = by(readers.file_status(sheets, "file_name"), "file", "n_rows", "n_bad", "n_unnamed")
+    found = sheets.read_sheets(spark, str(tmp_path), imports.REQUIRED)
+    assert found.headers.count() == 2
+    status = by(sheets.file_status(found, "file_name"), "source_file", "n_rows", "n_bad", "n_unnamed")
     assert {k.rsplit("/x/", 1)[1]: v for k, v in status.items()} == {"one.csv": (2, 0, 1), "y/two.csv": (2, 1, 0)}
-    out = imports.to_encounters(sheets, {"encounter_genus": "Hyperoodon"})
+    out = imports.to_encounters(found.rows, {"encounter_genus": "Hyperoodon"})
     got = by(out, "encounter_media_asset0", "encounter_decimal_longitude", "encounter_year", "encounter_day", "encounter_genus")
     assert got["A.jpg"] == (2.5, 2025, 14, "Hyperoodon") and got["B.jpg"] == (None, 2025, 14, "Hyperoodon")
     assert set(got) == {"A.jpg", "B.jpg", "C.jpg"}
