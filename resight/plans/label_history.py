@@ -165,6 +165,41 @@ def id_summary(photos: DataFrame, reference_year: int) -> DataFrame:
     )
 
 
+def label_totals(summary: DataFrame) -> DataFrame:
+    """One row of counts over :func:`id_summary`: labelled IDs, votes, current labels, transitions, source checks."""
+
+    def each(column: str, prefix: str, labels: Sequence[str]) -> list[Column]:
+        return [F.count_if(F.col(column) == v).alias(f"{prefix}_{v.lower()}") for v in labels]
+
+    known = (kw.FEMALE, kw.MALE, kw.UNKNOWN)
+    return summary.agg(
+        F.count(F.lit(1)).alias("n_ids"),
+        F.count_if(F.col("n_photos_with_sex") > 0).alias("n_labelled"),
+        *each("primary_sex", "vote", (*known, "CONFLICT")),
+        *each("current_sex", "current", (*known, "UNK_from_known", "CONFLICT")),
+        F.count_if("possible_maturation").alias("n_possible_maturation"),
+        F.count_if("inter_keyword_conflict").alias("n_source_conflicts"),
+        F.count_if("all_keywords_identical").alias("n_identical_sources"),
+        F.min("first_year").alias("first_year"),
+        F.max("last_year").alias("last_year"),
+    )
+
+
+def without_year(photos: DataFrame) -> DataFrame:
+    """Reject table: photos whose name tells no year."""
+    return photos.filter(F.col("year").isNull()).select("photo_seq", "file_name", "id")
+
+
+def year_coverage(photos: DataFrame) -> DataFrame:
+    """Photos, photos with a year, and the years they cover."""
+    return photos.agg(
+        F.count(F.lit(1)).alias("n_photos"),
+        F.count("year").alias("n_with_year"),
+        F.min("year").alias("first_year"),
+        F.max("year").alias("last_year"),
+    )
+
+
 def years_of(photos: DataFrame) -> list[int]:
     """Calendar years present; a short list whatever the number of photos."""
     rows = photos.select("year").distinct().filter("year is not null").collect()

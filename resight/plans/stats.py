@@ -56,6 +56,20 @@ def id_days_by_year(rows: DataFrame) -> DataFrame:
     return pivot_counts(days, ["year", "film"], "side", ["Left", "Right"])
 
 
+def individual_days_per_year(rows: DataFrame) -> DataFrame:
+    """Days with an individual, place, side and medium, counted per year of the day."""
+    return survey_days(rows).groupBy(F.year("date").alias("year")).agg(n_rows("count"))
+
+
+def photos_per_day_and_place(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("date", "location", "side", "film").agg(n_rows("count"))
+
+
+def reliability_by_label(rows: DataFrame, labels: Sequence[str], label: str = "sex") -> DataFrame:
+    """Share of each reliability within each of the labels, labels as columns; other labels don't count."""
+    return share_across(rows.filter(F.col(label).isin(*labels)), label, labels, "reliable")
+
+
 def photos_by_year(rows: DataFrame) -> DataFrame:
     return pivot_counts(rows, ["year", "film"], "side", ["Left", "Right"])
 

@@ -253,7 +253,7 @@ SELECT photo_seq, file_name AS filename, '/photos/' || file_name AS filepath_ful
        WHEN photo_seq % 23 = 0 THEN 'review_melon_only'
        ELSE CASE (photo_seq % 8) // 2 WHEN 3 THEN 'Q4_excellent' WHEN 2 THEN 'Q3_good' WHEN 1 THEN 'Q2_poor' ELSE 'Q1_reject' END END AS output_folder,
   CASE WHEN photo_seq % 89 = 0 THEN 'API call failed or response could not be parsed' ELSE 'note ' || photo_seq END AS rationale
-FROM listing WHERE photo_seq % 2 = 0
+FROM listing
 """,
 )
 

@@ -336,8 +336,8 @@ _BOTH = """(SELECT *, 1 AS n, 'catalogue' AS source FROM catalogue WHERE photo_s
     UNION ALL SELECT *, 2, 'dorsal' FROM catalogue WHERE photo_seq % 3 <> 1)"""
 register(
     "d31_dataset_summary",
-    lambda spark, d: catalogues.dataset_summary(_biopsy_pair(spark, d)[0]),
-    f"SELECT {_EVIDENCE.format(order='photo_seq')} FROM catalogue WHERE photo_seq % 3 <> 0 AND id IS NOT NULL GROUP BY id",
+    lambda spark, d: catalogues.dataset_summary(catalogues.clean_catalogue(driver.tagged_listing(spark, d), "biopsy_tags")),
+    f"SELECT {_EVIDENCE.format(order='photo_seq')} FROM catalogue WHERE id IS NOT NULL GROUP BY id",
 )
 register(
     "d31_id_overlap",
@@ -453,7 +453,7 @@ register(
 register(
     "d37_unmatched",
     lambda spark, d: rating_runs.unmatched(
-        manual(spark, d), rating_runs.parse_ratings(driver.auto_responses(spark, d))
+        manual(spark, d), rating_runs.parse_ratings(driver.auto_responses(spark, d).filter("photo_seq % 2 = 0"))
     ),
     """SELECT 'manual' AS source, (SELECT count(*) FROM listing WHERE photo_seq % 2 <> 0) AS n_unmatched UNION ALL SELECT 'automated', 0""",
 )
@@ -554,6 +554,61 @@ register(
     """SELECT side, location, nullif(count(DISTINCT id) FILTER (WHERE sex = 'FemaleJ'), 0) AS femalej, nullif(count(DISTINCT id) FILTER (WHERE sex = 'MaleM'), 0) AS malem,
     nullif(count(DISTINCT id) FILTER (WHERE sex = 'UNK'), 0) AS unk FROM final WHERE qrate IN (3, 4) AND side = 'Left' AND reliable = 'Yes' GROUP BY side, location""",
 )
+register(
+    "d40_days_per_year",
+    lambda spark, d: stats.individual_days_per_year(base(spark, d)),
+    "SELECT year(date) AS year, count(*) AS count FROM (SELECT DISTINCT date, location, id, side, film FROM base) GROUP BY 1",
+)
+register(
+    "d40_photos_per_day_and_place",
+    lambda spark, d: stats.photos_per_day_and_place(base(spark, d)),
+    "SELECT date, location, side, film, count(*) AS count FROM base GROUP BY ALL",
+)
+register(
+    "d40_photos_by_year",
+    lambda spark, d: stats.photos_by_year(base(spark, d)),
+    """SELECT year, film, nullif(count(*) FILTER (WHERE side = 'Left'), 0) AS left, nullif(count(*) FILTER (WHERE side = 'Right'), 0) AS right
+    FROM base GROUP BY year, film""",
+)
+
+
+def _reliable_by_label(rows, labels):
+    out = stats.reliability_by_label(rows, labels)
+    return out.select("reliable", *[F.round(v.lower(), 6).alias(v.lower()) for v in labels])
+
+
+def _shares(labels):
+    """A combination that doesn't occur has no share."""
+    columns = ", ".join(
+        f"round(nullif(count(*) FILTER (WHERE sex = '{v}'), 0) / sum(count(*) FILTER (WHERE sex = '{v}')) OVER (), 6) AS {v.lower()}" for v in labels
+    )
+    return f"SELECT reliable, {columns} FROM final WHERE sex IN ({', '.join(repr(v) for v in labels)}) GROUP BY reliable"
+
+
+for _name, _labels in (("d40_reliability_by_label", ["FemaleJ", "MaleM", "UNK"]), ("d40_reliability_by_known_label", ["FemaleJ", "MaleM"])):
+    register(_name, lambda spark, d, labels=_labels: _reliable_by_label(final(spark, d), labels), _shares(_labels))
+register(
+    "d21_label_totals",
+    lambda spark, d: lh.label_totals(lh.id_summary(melon(spark, d), 2025)),
+    """SELECT count(*) AS n_ids, count(*) FILTER (n_photos_with_sex > 0) AS n_labelled, """
+    + ", ".join(f"count(*) FILTER (primary_sex = '{v}') AS vote_{v.lower()}" for v in ("FemaleJ", "MaleM", "UNK", "CONFLICT"))
+    + ", "
+    + ", ".join(f"count(*) FILTER (current_sex = '{v}') AS current_{v.lower()}" for v in ("FemaleJ", "MaleM", "UNK", "UNK_from_known", "CONFLICT"))
+    + """, count(*) FILTER (possible_maturation) AS n_possible_maturation, count(*) FILTER (inter_keyword_conflict) AS n_source_conflicts,
+    count(*) FILTER (all_keywords_identical) AS n_identical_sources, min(first_year) AS first_year, max(last_year) AS last_year FROM summary""",
+)
+_CAMERA = "CASE WHEN photo_seq % 14 = 5 THEN 'DSC_' || photo_seq % 1000 || '.JPG' ELSE file_name END"
+register(
+    "f13_year_rejects",
+    lambda spark, d: lh.without_year(lh.melon_photos(driver.camera_names(spark, d))),
+    f"SELECT photo_seq, {_CAMERA} AS file_name, title AS id FROM listing WHERE photo_seq % 14 = 5 AND NOT contains(lower(keyword_export), 'dorsal')",
+)
+register(
+    "f13_year_coverage",
+    lambda spark, d: lh.year_coverage(lh.melon_photos(driver.camera_names(spark, d))),
+    """SELECT count(*) AS n_photos, count(*) FILTER (photo_seq % 14 <> 5) AS n_with_year, min(CAST(substr(file_name, 5, 4) AS INT)) FILTER (photo_seq % 14 <> 5) AS first_year,
+    max(CAST(substr(file_name, 5, 4) AS INT)) FILTER (photo_seq % 14 <> 5) AS last_year FROM listing WHERE NOT contains(lower(keyword_export), 'dorsal')""",
+)
 register("d40_mark_shares", gq._mark_shares, gq.MARK_SHARES)
 register(
     "d41_good_photos",

@@ -162,6 +162,13 @@ def sightings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def camera_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Listing in which every fourteenth photo still has the name the camera gave it, without a year."""
+    k = F.col("photo_seq")
+    name = F.concat(F.lit("DSC_"), (k % 1000).cast("string"), F.lit(".JPG"))
+    return listing(spark, folder).withColumn("file_name", F.when(k % 14 == 5, name).otherwise(F.col("file_name")))
+
+
 def auto_responses(spark: SparkSession, folder: str) -> DataFrame:
     """One raw rating response per second photo: some unreadable, some in code fences."""
     return stored(spark, "responses", folder, lambda: _auto_responses(spark, folder))
@@ -204,7 +211,6 @@ def _auto_responses(spark: SparkSession, folder: str) -> DataFrame:
     day = F.regexp_replace(F.substring("date_original", 1, 10), "-", ":")
     return (
         listing(spark, folder)
-        .filter(k % 2 == 0)
         .select(
             "photo_seq",
             F.concat(F.lit("/photos/"), F.col("file_name")).alias("path"),
