@@ -31,6 +31,37 @@ def many_to_one(
     return null_safe(left, right, keys)
 
 
+PAIRS_PER_TASK = 10_000_000
+
+
+def key_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """(key, n_left, n_right) of every key of either side, with map-side combine."""
+    one = F.lit(1).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    both = left.select(key, one.alias("l"), zero.alias("r")).unionAll(right.select(key, zero.alias("l"), one.alias("r")))
+    return both.groupBy(key).agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
+
+
+def many_to_many(
+    left: DataFrame, right: DataFrame, key: str, spread: Sequence[str], pairs_per_task: int | None = None
+) -> DataFrame:
+    """Inner join of sides that may both repeat a key, without one task for a key of very many pairs.
+
+    A key with n times ``pairs_per_task`` pairs has its left rows dealt over n salts by a hash of the ``spread``
+    columns and its right rows repeated n times. All other keys are joined as they are.
+    """
+    limit = pairs_per_task or PAIRS_PER_TASK
+    counts = key_counts(left, right, key).filter(F.col("n_left") * F.col("n_right") > limit)
+    n = F.least(F.ceil(F.col("n_left") * F.col("n_right") / limit), F.col("n_left")).cast("int")
+    hot = counts.select(key, n.alias("_salts"))
+    one = F.lit(1)
+    dealt = F.pmod(F.xxhash64(*spread), F.coalesce("_salts", one)).cast("int")
+    a = left.join(hot, key, "left").withColumn("_salt", dealt).drop("_salts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", one) - 1))
+    b = right.join(hot, key, "left").withColumn("_salt", copies).drop("_salts")
+    return a.join(b, [key, "_salt"]).drop("_salt")
+
+
 def ids_present(rows: DataFrame, ids: DataFrame, key: str, spread: Sequence[str]) -> DataFrame:
     """Rows whose ID is in the list (semi join), large individuals split over tasks."""
     sizes = group_sizes(rows, [key])

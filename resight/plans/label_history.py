@@ -16,6 +16,8 @@ from resight.operators.joins import ids_present
 
 LABELS = {"f": kw.FEMALE, "m": kw.MALE, "u": kw.UNKNOWN}
 
+MAX_YEARS = 300  # columns of an exported timeline
+
 
 def melon_photos(listing: DataFrame) -> DataFrame:
     """Melon photos with the label of either keyword source; the year is read from the file name."""
@@ -200,25 +202,35 @@ def year_coverage(photos: DataFrame) -> DataFrame:
     )
 
 
-def years_of(photos: DataFrame) -> list[int]:
-    """Calendar years present; a short list whatever the number of photos."""
-    rows = photos.select("year").distinct().filter("year is not null").collect()
+def years_of(photos: DataFrame, limit: int = MAX_YEARS) -> list[int]:
+    """Calendar years present. More than ``limit`` are an error: file names can hold any four digits, and a table of
+    so many columns is of no use; :func:`timeline` has no such limit."""
+    rows = photos.select("year").distinct().filter("year is not null").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} years: check the file names, or use the timeline without columns")
     return sorted(r["year"] for r in rows)
 
 
+def timeline(photos: DataFrame) -> DataFrame:
+    """Label text per individual as a map from year to label, in order of years, and ``year_na``, the label of photos
+    without a year. The years need not be known."""
+    labelled = per_year(photos).filter("n_sex > 0").withColumn("sex_annual", _joined(_cols("s_")))
+    dated = F.when(F.col("year").isNotNull(), F.struct("year", "sex_annual"))
+    return labelled.groupBy("id").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(dated))).alias("labels"),
+        F.max(F.when(F.col("year").isNull(), F.col("sex_annual"))).alias("year_na"),
+    )
+
+
 def timeline_wide(photos: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     """Label text per individual and year, years as columns in order.
 
-    Years must be complete, so they are looked up unless given; labelled photos without a year
-    go to ``year_na``.
+    An export form of :func:`timeline`. Years must be complete, so they are looked up unless given; labelled photos
+    without a year go to ``year_na``.
     """
     years = years_of(photos) if years is None else years
-    labelled = per_year(photos).filter("n_sex > 0").withColumn("sex_annual", _joined(_cols("s_")))
-    columns = [
-        F.max(F.when(F.col("year") == y, F.col("sex_annual"))).alias(f"year_{y}") for y in sorted(years)
-    ]
-    missing = F.max(F.when(F.col("year").isNull(), F.col("sex_annual"))).alias("year_na")
-    return labelled.groupBy("id").agg(*columns, missing)
+    columns = [F.col("labels")[F.lit(y)].alias(f"year_{y}") for y in sorted(years)]
+    return timeline(photos).select("id", *columns, "year_na")
 
 
 def history_detailed(photos: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resight.functions import dates, ratings, text
+from resight.operators import joins
 from resight.operators.gates import require_columns
 
 PASS_THROUGH = [
@@ -62,10 +63,21 @@ def auto_side(auto: DataFrame) -> DataFrame:
 
 
 def compare_ratings(manual: DataFrame, auto: DataFrame, threshold: int = 0) -> DataFrame:
-    joined = manual_side(manual).join(auto_side(auto), "match_key")
+    """Every manual rating with every automated one of the same name. Names that repeat on both sides, as those of
+    photos in different folders do, give all pairs; :func:`repeated_keys` reports them."""
+    left, right = manual_side(manual), auto_side(auto)
+    joined = joins.many_to_many(left, right, "match_key", left.columns)
     return joined.select("*", *ratings.comparison_columns("lv_q", "pipe_q", threshold))
 
 
+def repeated_keys(manual: DataFrame, auto: DataFrame) -> DataFrame:
+    """Names that stand for several photos on either side, with how often."""
+    counts = joins.key_counts(manual_side(manual), auto_side(auto), "match_key")
+    return counts.filter("n_left > 1 or n_right > 1").select(
+        "match_key", F.col("n_left").alias("n_manual"), F.col("n_right").alias("n_auto")
+    )
+
+
 def unmatched(manual: DataFrame, auto: DataFrame) -> DataFrame:
     """Images without a partner on the other side, counted by anti joins (keys may repeat)."""
     a, b = manual_side(manual).select("match_key"), auto_side(auto).select("match_key")

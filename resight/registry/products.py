@@ -260,6 +260,15 @@ register(
     WHERE inter_keyword_conflict OR all_keywords_identical""",
 )
 register("d23_timeline_wide", lambda spark, d: lh.timeline_wide(melon(spark, d)), gq.TIMELINE)
+register(
+    "d23_timeline",
+    lambda spark, d: lh.timeline(melon(spark, d)).select("id", F.explode_outer("labels").alias("year", "label"), "year_na"),
+    """SELECT i.id, y.year, y.label, n.year_na FROM (SELECT DISTINCT id FROM melon WHERE sex IS NOT NULL) i
+    LEFT JOIN (SELECT id, year, string_agg(DISTINCT sex, ' & ' ORDER BY sex) AS label FROM melon WHERE sex IS NOT NULL AND year IS NOT NULL GROUP BY id, year) y
+      ON y.id IS NOT DISTINCT FROM i.id
+    LEFT JOIN (SELECT id, string_agg(DISTINCT sex, ' & ' ORDER BY sex) AS year_na FROM melon WHERE sex IS NOT NULL AND year IS NULL GROUP BY id) n
+      ON n.id IS NOT DISTINCT FROM i.id""",
+)
 register("d23_history_detailed", lambda spark, d: lh.history_detailed(melon(spark, d)), gq.HISTORY)
 register("d24_conflict_patterns", lambda spark, d: lh.conflict_patterns(melon(spark, d)), gq.PATTERNS)
 register(
@@ -431,6 +440,13 @@ register(
     lambda spark, d: rating_runs.run_summary(rating_runs.parse_ratings(driver.auto_responses(spark, d))),
     gq.RUN_SUMMARY,
 )
+
+
+def _folder_copies(rows, also):
+    """Rows of two folders that hold photos of the same names."""
+    return rows.unionByName(rows.filter(also))
+
+
 RATED = """match_key, lv_filename_raw, lv_q, year, location, reliable, pipe_filename_raw, pipe_q, output_folder, trailing_edge_clear,
     q_comparable, q_diff, q_agree, q_flag, q_direction, any_flag"""
 register("d37_rating_comparison", compared, f"SELECT {RATED} FROM rated")
@@ -450,6 +466,17 @@ register(
     lambda spark, d: rating_runs.magnitudes(compared(spark, d)),
     "SELECT q_diff, count(*) AS n FROM rated WHERE q_flag GROUP BY q_diff",
 )
+register(
+    "d37_repeated_keys",
+    lambda spark, d: rating_runs.repeated_keys(
+        _folder_copies(manual(spark, d), F.col("qrate") >= 3),
+        _folder_copies(rating_runs.parse_ratings(driver.auto_responses(spark, d)), F.col("melon_present")),
+    ),
+    """SELECT match_key, n_manual, n_auto FROM (SELECT a.match_key, any_value(CASE WHEN m.qrate >= 3 THEN 2 ELSE 1 END) AS n_manual,
+    any_value(CASE WHEN melon_present THEN 2 ELSE 1 END) AS n_auto
+    FROM (SELECT *, lower(regexp_replace(filename, '\\.JPG$', '')) AS match_key FROM auto) a JOIN derived m ON a.photo_seq = m.photo_seq GROUP BY a.match_key)
+    WHERE n_manual > 1 OR n_auto > 1""",
+)
 register(
     "d37_unmatched",
     lambda spark, d: rating_runs.unmatched(

@@ -294,6 +294,18 @@ def test_sessions_keep_rows_without_key(spark):
     assert got == {1: 1, 2: 1, 3: None, 4: None, 5: 2}
 
 
+@pytest.mark.parametrize("pairs", [None, 50])
+def test_many_to_many_with_a_hot_key(spark, pairs):
+    left = [("hot", i) for i in range(200)] + [("a", 1), ("a", 2), ("b", 3), (None, 4), ("only", 5)]
+    right = [("hot", -i) for i in range(30)] + [("a", 7), ("a", 8), ("b", 9), (None, 1), ("zz", 2)]
+    a, b = spark.createDataFrame(left, "key string, x int"), spark.createDataFrame(right, "key string, y int")
+    out = joins.many_to_many(a, b, "key", ["x"], pairs)
+    want = sorted((k, x, y) for k, x in left for j, y in right if k is not None and k == j)
+    assert out.columns == ["key", "x", "y"] and sorted(map(tuple, out.collect())) == want
+    counts = {r["key"]: (r["n_left"], r["n_right"]) for r in joins.key_counts(a, b, "key").collect()}
+    assert counts == {"hot": (200, 30), "a": (2, 2), "b": (1, 1), None: (1, 1), "only": (1, 0), "zz": (0, 1)}
+
+
 def test_ids_present(spark, rows, blocks):
     ids = spark.createDataFrame([("hot",), ("a",), ("a",), (None,), ("zz",)], "id string")
     out = joins.ids_present(frame(spark, rows), ids, "id", ["photo_seq"])

@@ -343,3 +343,14 @@ def test_find_columns_first_hit_or_null(spark):
     df = spark.createDataFrame([("a", "b", "c")], ["Date Taken", "date.two", "Title"])
     got = readers.find_columns(df, {"date": "date", "keyword": "keyword", "id": "id|title"}).first()
     assert tuple(got) == ("a", None, "c")
+
+
+def test_timeline_without_and_with_columns(spark):
+    rows = [(i, f"DSC_{i:04d}.JPG", "x", "Sum_F") for i in range(1000, 1400)] + [(1, "IMG_2001_2.JPG", "y", "Sum_M"), (2, "x.JPG", "y", "Sum_F")]
+    photos = lh.melon_photos(spark.createDataFrame(rows, "photo_seq long, file_name string, title string, keyword_export string"))
+    got = {r["id"]: r for r in lh.timeline(photos).collect()}
+    assert len(got["x"].labels) == 400 and got["y"].labels == {2001: "MaleM"} and got["y"].year_na == "FemaleJ"
+    with pytest.raises(ValueError, match="more than 300 years"):
+        lh.timeline_wide(photos)
+    few = lh.timeline_wide(photos.filter("id = 'y'"))
+    assert few.columns == ["id", "year_2001", "year_na"] and tuple(few.first()) == ("y", "MaleM", "FemaleJ")
