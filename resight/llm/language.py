@@ -140,8 +140,8 @@ def train(docs: DataFrame, lang: str = "lang") -> Model | None:
 def viterbi(first: np.ndarray, scores: np.ndarray, switch: float) -> np.ndarray:
     """Best label of every word: label scores per word, ``switch`` off for every change of label."""
     chains = Chains(first)
-    back = np.zeros(scores.shape, np.int8)
-    label = np.zeros(len(scores), np.int8)
+    back = np.zeros(scores.shape, np.int32)
+    label = np.zeros(len(scores), np.int32)
     state = np.zeros((len(chains.starts), scores.shape[1]))
     for t, at in enumerate(chains.forward()):
         now = state[: len(at)]

@@ -83,3 +83,9 @@ def test_quality_edge_cases(spark):
     rows = {r.doc_id: r for r in line_crf.score(docs, model).collect()}
     assert rows[1].score == rows[2].score == rows[3].score == pytest.approx(0.8)
     assert rows[4].n_lines == 2
+
+
+def test_more_than_127_languages():
+    scores = np.zeros((6, 200))
+    scores[:, 150] = 9.0
+    assert language.viterbi(np.array([0, 6]), scores, 1.0).tolist() == [150] * 6
