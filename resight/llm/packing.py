@@ -5,7 +5,7 @@
 2. The rests give a histogram of at most ``LENGTH`` / ``STEP`` length classes, whatever the number of
    documents. A linear program over patterns (how many pieces of each class share a sequence) is solved on it
    by column generation: the simplex basis gives class prices, a knapsack dynamic program finds the pattern
-   worth most, until none is worth more than one sequence.
+   worth most, until the prices prove the solution to one sequence in ``EXACT``.
 3. Patterns are used floor(x) times; what rounding leaves over, less than one sequence per basic pattern, is
    packed on the same histogram by fullest-pattern-first.
 4. Every piece gets its rank within its class (ranks are counted over hash blocks, so a class holding a third
@@ -18,6 +18,7 @@ empty result.
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,6 +35,7 @@ from resight.session import saved
 LENGTH = 2048
 STEP = 4  # a class holds the lengths of one multiple of STEP and those just below it
 END_ID = 1
+EXACT = 1_000_000  # the linear program is solved to one sequence in so many
 _CACHED = 500_000  # words whose ids a task remembers
 _BLOCKS = 64
 _PIECE_BYTES = 1 << 20
@@ -237,30 +239,30 @@ def _pivot(inverse: np.ndarray, d: np.ndarray, r: int) -> None:
     inverse[r] = row
 
 
-def solve(
-    sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 100, columns: int = 32, gap: float = 5e-4
-) -> list[tuple[np.ndarray, int]]:
-    """Patterns and how often to use them, so that every demanded piece has exactly one slot.
+def relax(
+    sizes: np.ndarray, demand: np.ndarray, capacity: int, columns: int = 32, rounds: int = 10_000
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Patterns, how often to use each (fractions allowed), and the class prices that prove how good that is.
 
-    ``sizes`` ascend. Revised simplex with an explicit basis inverse. One knapsack prices, for every class, the
-    best pattern that holds it; up to ``columns`` of them enter per round. It ends when no pattern is worth more
-    than one sequence, or within ``gap`` of the bound total / capacity; any basis on the way is feasible, only
-    less tight.
+    Revised simplex with an explicit basis inverse, from full patterns found greedily. One knapsack prices, for every
+    class, the best pattern that holds it; up to ``columns`` of them enter per round. Prices divided by the worth of
+    the best pattern prove a lower bound (as total / capacity does): it ends when no pattern is worth more than one
+    sequence, or the bound is less than half a sequence or one in ``EXACT`` away. It warns if neither is so after
+    ``rounds``.
     """
     m = len(sizes)
-    if not m:
-        return []
+    bound = float(sizes @ demand) / capacity
     basis, x, inverse = [np.zeros(m, np.int64)] * m, np.zeros(m), np.eye(m)
     for r, pattern, n in reversed(_start(sizes, demand, capacity)):
         _pivot(inverse, np.einsum("ij,j->i", inverse, pattern), r)
         basis[r], x[r] = pattern, n
-    bound = float(sizes @ demand) / capacity
     for _ in range(rounds):
-        if x.sum() <= bound * (1 + gap):
-            break
         prices = np.maximum(inverse.sum(axis=0), 0)
         worth, choice = _knapsack(prices, sizes, capacity)
         value = prices + worth[capacity - sizes]
+        bound = max(bound, float(prices @ demand) / max(1.0, float(value.max())))
+        if x.sum() - bound <= max(0.5, x.sum() / EXACT):
+            break
         entered = 0
         for first in np.argsort(-value)[: 4 * columns]:
             if value[first] <= 1 + 1e-7 or entered >= columns:
@@ -282,6 +284,16 @@ def solve(
             entered += 1
         if not entered:
             break
+    else:
+        warnings.warn(f"column generation not at its end after {rounds} rounds", stacklevel=3)
+    return basis, x, np.maximum(inverse.sum(axis=0), 0)
+
+
+def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Patterns and how often to use them, so that every demanded piece has exactly one slot; ``sizes`` ascend."""
+    if not len(sizes):
+        return []
+    basis, x, _ = relax(sizes, demand, capacity)
     used: list[tuple[np.ndarray, int]] = []
     left = demand.copy()
     for k in np.argsort(-x):

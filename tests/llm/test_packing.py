@@ -59,8 +59,14 @@ def test_patterns_cover_the_demand_with_little_waste(seed):
     used = packing.solve(sizes, demand, 512)
     assert (sum(p * n for p, n in used) == demand).all()
     assert all(p @ sizes <= 512 for p, _ in used)
-    bound = max(sizes @ demand / 512, demand[sizes > 256].sum())
-    assert sum(n for _, n in used) <= bound * 1.02 + 3
+    basis, x, prices = packing.relax(sizes, demand, 512)
+    best = [0.0] * 513  # no packing needs fewer sequences than prices @ demand / worth of the best pattern
+    for c in range(1, 513):
+        best[c] = max([best[c - 1], *(best[c - s] + p for s, p in zip(sizes, prices, strict=True) if s <= c)])
+    bound = max(sizes @ demand / 512, prices @ demand / max(1, best[512]))
+    assert np.allclose(np.array(basis).T @ x, demand)
+    assert bound - 1e-6 <= x.sum() <= bound + 0.5
+    assert bound - 1e-6 <= sum(n for _, n in used) <= bound * 1.02 + 3
 
 
 def test_table_padding(spark):
