@@ -8,7 +8,7 @@ and queries, so a part that holds a third of all rows is no single task; queries
 searched in all parts.
 
 Cases: vectors that are null, zero, of another than the prevailing length, or that hold null or non-finite
-components take no part; ties go to the smaller id; rows with equal ids are never each other's neighbours; an
+components take no part; components of any finite size do; ties go to the smaller id; rows with equal ids are never each other's neighbours; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -32,6 +32,8 @@ HIDDEN = 96
 BLOCK_ROWS = 20_000
 BLOCK_QUERIES = 4_000
 K = 10
+_LARGE, _SMALL = 1e150, 1e-290  # a component whose square may overflow, a square that lost digits
+_CLIP = 1e100  # the network sees no larger components
 
 
 def usable(vectors: DataFrame, id_: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -94,7 +96,7 @@ def balanced_parts(x: np.ndarray, near: np.ndarray, parts: int, rounds: int = 12
 
 
 def _probabilities(model: dict, x: np.ndarray) -> np.ndarray:
-    h = np.maximum(x @ model["w1"] + model["b1"], 0) @ model["w2"] + model["b2"]
+    h = np.maximum(np.clip(x, -_CLIP, _CLIP) @ model["w1"] + model["b1"], 0) @ model["w2"] + model["b2"]
     h = np.exp(h - h.max(axis=1, keepdims=True))
     return h / h.sum(axis=1, keepdims=True)
 
@@ -102,6 +104,7 @@ def _probabilities(model: dict, x: np.ndarray) -> np.ndarray:
 def fit(x: np.ndarray, parts: int, epochs: int = 30, batch: int = 256) -> dict:
     """A network of one hidden layer; its targets are the parts of a vector and its neighbours."""
     rng = np.random.default_rng(3)
+    x = np.clip(x, -_CLIP, _CLIP)
     scale = float(np.sqrt((x * x).sum(axis=1).mean())) or 1.0
     x = x / scale
     near = _graph(x, min(NEIGHBOURS, len(x) - 1))
@@ -179,16 +182,32 @@ def _route(rows: DataFrame, model: dict | None, parts: int, mass: float) -> Data
 _FOUND = "query_id long, vec_id long, score double"
 
 
+def _distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances; differences whose squares overflow or vanish are scaled first."""
+    with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+        apart = np.abs(x - q)
+        squares = (apart**2).sum(axis=1)
+        out = np.sqrt(squares)
+        most = apart.max(axis=1)
+        odd = ((squares == np.inf) | (squares < _SMALL)) & (most > 0) & (most < np.inf)
+        if odd.any():
+            out[odd] = most[odd] * np.sqrt(((apart[odd] / most[odd, None]) ** 2).sum(axis=1))
+    return out
+
+
 def _nearest(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k nearest rows of every query within one block, exact and with ties to the smaller id."""
     out_q, out_v, out_d = [], [], []
     if len(queries) and len(rows):
         q, x = np.stack(queries["x"].to_numpy()), np.stack(rows["x"].to_numpy())
         qid, vid = queries["vec_id"].to_numpy(), rows["vec_id"].to_numpy()
-        square, most = (x * x).sum(axis=1), min(k + 1, len(x))
+        scale = max(np.abs(q).max(), np.abs(x).max())
+        scale = scale if scale > _LARGE else 1.0  # squares of larger components could overflow
+        near = x / scale
+        square, most = (near * near).sum(axis=1), min(k + 1, len(x))
         for s in range(0, len(q), 256):
-            part = q[s : s + 256]
-            d = (part * part).sum(axis=1)[:, None] + square[None] - 2 * part @ x.T
+            part = q[s : s + 256] / scale
+            d = (part * part).sum(axis=1)[:, None] + square[None] - 2 * part @ near.T
             own = qid[s : s + 256, None] == vid[None]
             d[own] = np.inf
             limit = np.partition(d, most - 1, axis=1)[:, most - 1]
@@ -196,7 +215,7 @@ def _nearest(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
             margin = 1e-9 * (1 + square.max() + (part * part).sum(axis=1))
             for i in range(len(part)):
                 at = np.flatnonzero((d[i] <= limit[i] + margin[i]) & ~own[i])
-                exact = np.sqrt(((x[at] - part[i]) ** 2).sum(axis=1))
+                exact = _distances(x[at], q[s + i])
                 best = np.lexsort((vid[at], exact))[:k]
                 out_q.append(np.full(len(best), qid[s + i]))
                 out_v.append(vid[at[best]])
