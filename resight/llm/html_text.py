@@ -7,7 +7,9 @@ decides the other blocks by length, stop-word density and link density. Pass two
 unclear to decide the label of the nearest decided block (before and after; on a draw the later one).
 ``<article>`` and ``<main>`` are one feature among these: the limits are lower inside and higher outside, labels do
 not pass from one side to the other, and where a side has none, its blocks are good only inside. If the marked
-part holds little of the good text, the page is taken as one without marks.
+part holds little of the good text, the page is taken as one without marks. Where stop words say nothing (other letters, or
+a page with hardly any of them), length and link density decide alone; without spaces between words, characters count.
+Short notes of copyright go, and no neighbour follows them.
 
 Cases: null or empty html gives empty text; unclosed tags end with their container; a cut-off tag at the end is
 markup; repeated rows come out alike; other columns are ignored; an empty table gives an empty result.
@@ -30,6 +32,7 @@ LINK_DENSITY = 0.4
 INSIDE = (0.08, 0.6)  # stop-word and link density inside article or main
 OUTSIDE = (0.2, 0.2)  # the same outside, on pages that have one
 LITTLE = 0.3  # share of the good words that the marked part must hold
+FEW = 0.03  # stop-word density of a page whose language the stop words do not know
 MOST = 0.8  # share of the good words that frees a skipped element
 
 # Frequent function words of English, German, French, Spanish.
@@ -49,6 +52,7 @@ SKIPPED_TAGS = frozenset(
 )
 SIDE_TAGS = frozenset("nav footer aside menu dialog".split())
 RAW_TAGS = ("script", "style", "textarea", "template", "noscript", "iframe", "svg", "title")
+_LATIN = "\u024f"  # the last letter of extended Latin
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent "
@@ -57,12 +61,16 @@ SKIPPED_NAMES = frozenset(
     "disqus reply replies respond related recommended widget toolbar skip".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
+# As in browsers, a quote opens a value only behind "=", and a tag without an end runs to the end of the page. Each
+# quantifier is possessive or fails at once, so a page is read in linear time.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*(?:>|$)|</?[a-zA-Z][^<>]*$", re.S
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:"[^"]*+"|'[^']*+')|[^>])*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)""", re.S
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW_TAGS}
-_WORD = re.compile(r"\w+")
+# Thai, Lao, Myanmar, Khmer, kana and Han put no spaces between words, so each character counts.
+_WORD = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]|\w+")
+_RIGHTS = re.compile(r"\W*(?:©|\(c\)|copyright\W+(?:©|\(c\)|\d{4})).*|.*all rights reserved\W*", re.I | re.S)
 
 
 @dataclass
@@ -78,11 +86,11 @@ class Block:
 
 def _named_out(attributes: str) -> bool:
     for name, *values in _ATTRIBUTE.findall(attributes):
-        value = next((v for v in values if v), "").lower()
-        if name.lower() == "role":
+        name, value = name.lower(), next((v for v in values if v), "").lower()
+        if name == "role":
             if value in _ROLES:
                 return True
-        elif not SKIPPED_NAMES.isdisjoint(value.split()):
+        elif name in ("class", "id") and not SKIPPED_NAMES.isdisjoint(value.split()):
             return True
     return False
 
@@ -173,23 +181,43 @@ class _Words:
     n: int
     stops: float
     links: float
+    foreign: bool = False  # in letters that no stop word has
+    rights: bool = False  # a short note of copyright
 
 
 def _measure(b: Block) -> _Words:
     text = b.text()
     words = [w.lower() for w in _WORD.findall(text)]
-    return _Words(len(words), sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0, b.linked / max(len(text), 1))
+    n = len(words)
+    return _Words(
+        n,
+        sum(w in STOP_WORDS for w in words) / n if n else 0.0,
+        b.linked / max(len(text), 1),
+        2 * sum(w[0] > _LATIN for w in words) > n,
+        n < 2 * SHORT and _RIGHTS.fullmatch(text) is not None,
+    )
+
+
+def _mute(sizes: list[_Words]) -> bool:
+    """Whether the stop words say nothing about a page: its unlinked blocks hold hardly any of them."""
+    some = [w for w in sizes if w.n >= SHORT and w.links <= LINK_DENSITY]
+    return sum(w.stops * w.n for w in some) < FEW * sum(w.n for w in some)
 
 
 def _decide(found: list[Block], sizes: list[_Words], marked: bool) -> list[bool | None]:
     decided: list[bool | None] = []
+    mute = _mute(sizes)
     for b, w in zip(found, sizes, strict=True):
         inside = marked and b.inside
         stops, links = INSIDE if inside else OUTSIDE if marked else (STOP_DENSITY, LINK_DENSITY)
-        if w.links > links and not (inside and w.n < SHORT and w.links <= 0.9):
+        if w.rights:
+            decided.append(None)
+        elif w.links > links and not (inside and w.n < SHORT and w.links <= 0.9):
             decided.append(False)
         elif w.n >= SHORT * (2 if marked and not inside else 1) and w.stops >= stops:
             decided.append(True)
+        elif w.n >= 2 * SHORT and (mute or w.foreign) and (inside or not marked):
+            decided.append(True)
         elif w.n >= 3 * SHORT and not inside:  # inside it may be a list or a language without known stop words
             decided.append(w.stops >= stops / 3 and not marked)
         else:
@@ -197,7 +225,7 @@ def _decide(found: list[Block], sizes: list[_Words], marked: bool) -> list[bool
     return decided
 
 
-def _inherit(found: list[Block], decided: list[bool | None], marked: bool) -> list[bool]:
+def _inherit(found: list[Block], sizes: list[_Words], decided: list[bool | None], marked: bool) -> list[bool]:
     n = len(found)
     before, after = [None] * n, [None] * n
     for order, nearest in ((range(n), before), (range(n - 1, -1, -1), after)):
@@ -209,7 +237,9 @@ def _inherit(found: list[Block], decided: list[bool | None], marked: bool) -> li
             nearest[i] = last.get(side)
     out = []
     for i, d in enumerate(decided):
-        if d is None:
+        if sizes[i].rights:
+            d = False
+        elif d is None:
             lo, hi = before[i], after[i]
             near = hi if lo is None or (hi is not None and hi - i <= i - lo) else lo
             d = decided[near] if near is not None else marked and found[i].inside
@@ -221,12 +251,12 @@ def classify(found: list[Block], marked: bool) -> list[bool]:
     """Good or not for every block: rules first, then neighbours."""
     sizes = [_measure(b) for b in found]
     if marked:
-        plain = _inherit(found, _decide(found, sizes, False), False)
+        plain = _inherit(found, sizes, _decide(found, sizes, False), False)
         good = sum(w.n for w, g in zip(sizes, plain, strict=True) if g)
         held = sum(w.n for b, w, g in zip(found, sizes, plain, strict=True) if g and b.inside)
         if held < LITTLE * good:
             return plain
-    return _inherit(found, _decide(found, sizes, marked), marked)
+    return _inherit(found, sizes, _decide(found, sizes, marked), marked)
 
 
 def _kept(page: str) -> tuple[list[Block], bool]:
@@ -235,7 +265,7 @@ def _kept(page: str) -> tuple[list[Block], bool]:
     free = {i for i, s in enumerate(sides) if s.holds and not s.inside and not marked}
     if sides:
         sizes = [_measure(b) for b in found]
-        plain = _inherit(found, _decide(found, sizes, False), False)
+        plain = _inherit(found, sizes, _decide(found, sizes, False), False)
         good = [(b, w.n) for b, w, g in zip(found, sizes, plain, strict=True) if g]
         total = sum(n for _, n in good)
         held = [0] * len(sides)

@@ -116,3 +116,59 @@ def test_article_is_one_feature_of_blocks():
 )
 def test_wrappers_do_not_hide_the_text(page, text):
     assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # a quote opens a value only behind "="
+        (f"<p class=it's>{PROSE}</p><p>{PROSE} two</p>", f"{PROSE} {PROSE} two"),
+        (f"<div title='a'\">{PROSE}</div>", PROSE),
+        (f"<div title=\"a > b\" data-x = 'c > d'>{PROSE}</div>", PROSE),
+        (f"<div title='class=ad id=menu'>{PROSE}</div>", PROSE),
+        (f"<p>{PROSE}</p><p>Copyright 2024 Some House</p>", PROSE),
+        (f"<p>{PROSE}</p><p>© Some House. All rights reserved.</p><p>So it was.</p>", f"{PROSE} So it was."),
+        (f"<p>{PROSE}</p><div class='x", PROSE),
+    ],
+)
+def test_odd_tags_and_notes(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Старик вышел в море рано утром и долго смотрел на воду, пока солнце не поднялось над берегом и лодки не ушли далеко",
+        "老人很早就出海了，他看了很久的海水，直到太阳从岸边升起，船都走远了。",
+        "Stary rybak wyszedł rano na morze, długo patrzył na wodę, aż słońce wzeszło nad brzegiem, kiedy wszystkie łodzie odpłynęły bardzo daleko",
+    ],
+)
+def test_languages_without_known_stop_words(text):
+    menu = "<div><a href=a>Один</a> <a href=b>Два</a></div>"
+    assert html_text.main_text(f"{menu}<div><p>{text}</p><p>{text}</p></div>{menu}") == f"{text} {text}"
+
+
+def test_broken_pages_take_linear_time(spark):
+    import time
+
+    for piece in ("<a \"", "<a ='", "<a = \"", "<!--", "<p x", "<", "<a b=", "</p "):
+        begun = time.perf_counter()
+        html_text.main_text(piece * 250_000)
+        assert time.perf_counter() - begun < 20, piece
+    page = f"<p>{PROSE}</p>"
+    table = spark.createDataFrame([(1, "u", page, "x"), (1, "u", page, "x"), (2, None, None, "x")], "page_id long, url string, html string, text string")
+    rows = sorted((r.page_id, r.url, r.text) for r in html_text.extract(table).collect())
+    assert rows == [(1, "u", PROSE), (1, "u", PROSE), (2, None, "")]
+    assert html_text.extract(table.limit(0)).collect() == []
+
+
+def test_magnitudes(spark):
+    rows = [(100, [1e200, 0.0]), (1, [1e200, 1.0]), (2, [1.0, 0.0]), (3, [1e-200, 0.0]), (200, [2e-200, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = learned_partitions.search(table, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
+    # the rest is as far from 100 in double precision, so ties go to the smaller id
+    want = [(100, 1, 1.0), (100, 2, 1e200), (100, 3, 1e200), (100, 200, 1e200), (200, 3, 1e-200), (200, 2, 1.0), (200, 1, 1e200), (200, 100, 1e200)]
+    assert [(r.query_id, r.vec_id, r.score) for r in got] == want
+    many = [(i, [float(i), 1e300 if i == 7 else 1.0]) for i in range(1, 301)]
+    found = learned_partitions.search(spark.createDataFrame(many, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0)
+    assert found.count() == 30 and found.filter("vec_id = 7").count() == 0
