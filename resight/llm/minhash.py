@@ -10,8 +10,8 @@
 4. A candidate must pass the signature estimate and then the exact test on the full sets.
 
 Cases: null or empty text has an empty set, class and component of its own; texts shorter than a shingle
-are one shingle; rows with equal ``doc_id`` are one node, given the smallest id; an empty table gives an
-empty result. Other columns are ignored.
+are one shingle; rows with equal ``doc_id`` are one node, linked by each of their texts; rows without an id are
+linked with nothing; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -112,18 +112,20 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id`` and its whole set, for the documents that take part in a candidate pair."""
+    """``set_hash`` and the whole set of every document; asked for those that take part in a candidate pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in pieces(batch.column("text")):
                 part = batch.slice(lo, hi - lo)
-                sets = [x.view(np.int64) for x in shingle_sets(*utf8(part.column("text")), shingle)]
+                sets = list(shingle_sets(*utf8(part.column("text")), shingle))
+                hashes = [_set_hash(x) if len(x) else None for x in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["id", "items"]
+                    [pa.array(hashes, pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
+                    ["set_hash", "items"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, items array<long>")
+    return docs.select("text").mapInArrow(run, "set_hash binary, items array<long>")
 
 
 def _estimate(pairs: DataFrame) -> DataFrame:
@@ -147,9 +149,11 @@ class _Linker:
 
     def __init__(self, docs: DataFrame, classes: DataFrame, members: DataFrame, shingle: int, percent: int) -> None:
         self.classes, self.percent = classes, percent
-        wanted = members.select("id").distinct()
-        rows = docs.join(wanted, docs.doc_id == wanted.id, "left_semi")
-        self.sets = saved(full_sets(rows, shingle).dropDuplicates(["id"]))
+        wanted = saved(members.select("id").distinct().join(classes, "id").select("id", "set_hash", "doc"))
+        rows = docs.join(wanted, docs.doc_id == wanted.doc, "left_semi")
+        # rows of one id may hold several texts: the set hash tells which of them a class stands for
+        found = full_sets(rows, shingle).join(wanted.select("id", "set_hash"), "set_hash")
+        self.sets = saved(found.dropDuplicates(["set_hash"]).select("id", "items"))
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
         signs = self.classes.select("id", "signature")
@@ -214,18 +218,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMI
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = saved(signed(docs, shingle))
     filled = rows.filter("set_hash is not null and doc_id is not null")
-    # a class has the id of its smallest document; its bands and signature are equal in all members
+    # a class has a number of its own, fixed by writing, as documents of one id may have several sets; its bands and
+    # signature are equal in all members
     classes = saved(
-        filled.groupBy("set_hash").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+        filled.groupBy("set_hash")
+        .agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+        .withColumn("id", F.monotonically_increasing_id())
     )
     banded = classes.select("id", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     members = saved(banded.join(shared, "bucket").select("bucket", "id"))
     linker = _Linker(docs, classes, members, shingle, percent)
     links = link_buckets(members, linker.confirm, settle=linker.settle)
-    # equal ids and equal sets also connect: rows of one id are one node
-    same = filled.select("doc_id", "set_hash").distinct().join(classes.select("set_hash", "id"), "set_hash")
-    edges = links.union(same.filter("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
+    # from classes to documents: each class by its smallest one; equal ids and equal sets also connect
+    names = classes.select("id", "doc")
+    linked = (
+        links.join(names.select(F.col("id").alias("a"), F.col("doc").alias("da")), "a")
+        .join(names.select(F.col("id").alias("b"), F.col("doc").alias("db")), "b")
+        .filter("da != db")
+        .select(F.col("da").alias("a"), F.col("db").alias("b"))
+    )
+    same = filled.select("doc_id", "set_hash").distinct().join(classes.select("set_hash", "doc"), "set_hash")
+    edges = linked.union(same.filter("doc_id != doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
     final = components(edges)
     return rows.join(final, rows.doc_id == final.node, "left").select(
         "doc_id",

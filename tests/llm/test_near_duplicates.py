@@ -68,6 +68,14 @@ def test_apart_members_are_settled_exactly(spark, monkeypatch):
     assert got == want and len(set(want.values())) > 3
 
 
+def test_every_text_of_an_id_links(spark):
+    a, b = variants(4, 60, 1, 0)[0], variants(5, 60, 1, 0)[0]
+    rows = [(1, a), (1, b), (2, f"{b} more"), (3, f"{a} more"), (4, "alone here"), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs, shingle=2).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (None, None, True)}
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_duplicates(docs).collect() == [] and minhash.keep_one(docs).collect() == []
