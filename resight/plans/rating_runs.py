@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resight.functions import dates, ratings, text
@@ -70,6 +70,11 @@ def compare_ratings(manual: DataFrame, auto: DataFrame, threshold: int = 0) -> D
     return joined.select("*", *ratings.comparison_columns("lv_q", "pipe_q", threshold))
 
 
+def export_order() -> list[Column]:
+    """Flagged pairs first, then the largest differences; names make the order total where they are unique."""
+    return [F.col("any_flag").desc_nulls_last(), F.col("q_diff").desc_nulls_last(), F.col("match_key"), F.col("pipe_filename_raw")]
+
+
 def repeated_keys(manual: DataFrame, auto: DataFrame) -> DataFrame:
     """Names that stand for several photos on either side, with how often."""
     counts = joins.key_counts(manual_side(manual), auto_side(auto), "match_key")

@@ -11,8 +11,9 @@ from resight.plans import exports, imports, rating_runs
 from resight.registry import products as pr
 from resight.registry.core import register
 from resight.registry.grouped import base, final
+from resight.registry.scalars import compared
 from resight.session import scratch_dir
-from resight.sources import driver, readers, sheets, writers
+from resight.sources import driver, incremental, readers, sheets, writers
 
 LISTING = ["photo_seq", *[readers.snake(c) for c in readers.LISTING_COLUMNS]]
 
@@ -223,6 +224,35 @@ def _export(spark, d):
 register("s6_csv_export", _export, "SELECT id, date, side, sex, qrate FROM base")
 
 
+def _export_order(spark, d):
+    """The rating comparison written in its export order, and read back with row numbers."""
+    columns = ["match_key", "lv_q", "pipe_q", "q_diff", "any_flag", "pipe_filename_raw"]
+    rows = compared(spark, d).select(*columns)
+    path = writers.write_ordered(rows, fresh(spark, "comparison"), "comparison", "v1", rating_runs.export_order())
+    schema = "match_key string, lv_q int, pipe_q int, q_diff int, any_flag boolean, pipe_filename_raw string"
+    return writers.read_ordered(spark, path, schema).drop("pipe_filename_raw")
+
+
+register(
+    "d37_export_order",
+    _export_order,
+    """SELECT row_number() OVER (ORDER BY any_flag DESC NULLS LAST, q_diff DESC NULLS LAST, match_key, pipe_filename_raw) AS row_no,
+    match_key, lv_q, pipe_q, q_diff, any_flag FROM rated""",
+)
+register(
+    "o1_ordered_export",
+    lambda spark, d: writers.read_ordered(
+        spark,
+        writers.write_ordered(
+            base(spark, d).select("id", "date", "photo_seq"), fresh(spark, "ordered"), "by_id", "v1",
+            [F.col("id").asc_nulls_last(), F.col("date").asc_nulls_last(), F.col("photo_seq")],
+        ),
+        "id string, date date, photo_seq bigint",
+    ),
+    "SELECT row_number() OVER (ORDER BY id NULLS LAST, date NULLS LAST, photo_seq) AS row_no, id, date, photo_seq FROM base",
+)
+
+
 def _exports(spark, d):
     """Every export written, read back and counted."""
     paths = exports.write_exports(final(spark, d), "2025_01", fresh(spark, "analysis"))
@@ -245,6 +275,58 @@ register(
 )
 
 
+def _export_contents(spark, d):
+    """Every column of every export read back: values that are there, and different ones."""
+    paths = exports.write_exports(final(spark, d), "2025_01", fresh(spark, "analysis"))
+    out = None
+    for name, path in paths.items():
+        rows = spark.read.csv(path, header=True, nullValue="NA")
+        named = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").alias("value")) for c in rows.columns])).alias("c")
+        part = rows.select(F.lit(name).alias("export"), named).groupBy("export", F.col("c.name").alias("column")).agg(
+            F.count("c.value").alias("n_values"), F.count_distinct("c.value").alias("n_different"), F.min("c.value").alias("least")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _content_sql(name, table, columns):
+    """Columns of an export (published name: SQL) counted as :func:`_export_contents` does."""
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS export, '{c}' AS "column", count(v) AS n_values, count(DISTINCT v) AS n_different, min(v) AS least
+        FROM (SELECT CAST({sql} AS VARCHAR) AS v FROM {table})"""
+        for c, sql in columns.items()
+    )
+
+
+_YES = "CASE WHEN reliable THEN 'true' ELSE 'false' END"
+register(
+    "g5_export_contents",
+    _export_contents,
+    " UNION ALL ".join(
+        [
+            _content_sql("id_sex_primary_yrs", f"({pr.PRIMARY})", dict(zip(exports.PRIMARY, ["id_numeric", "id_side", "melon_sex", "sex_genetic", "year1", "yearlast", "animal_yrs", "n_photos"], strict=True))),
+            _content_sql("id_sex_master", f"({pr.MASTER})", dict(zip(exports.MASTER, ["id", "id_side", "sex", "sex_genetic", "year1", "yearlast", "animal_yrs", "n"], strict=True))),
+            _content_sql("social_photos", "final", dict(zip(exports.SOCIAL, ["qrate", "date", "date_original", "location", "latitude", "longitude", "side", "reliable", "sex", "id"], strict=True))),
+            _content_sql("social_supplement", f"({pr.SUPPLEMENT})", dict(zip(exports.SUPPLEMENT, ["id", "sex", _YES], strict=True))),
+            _content_sql("simple_photos", "final", dict(zip(exports.SIMPLE, ["id_side", "qrate", "date", "location", "reliable", "sex", "id"], strict=True))),
+        ]
+    ),
+)
+
+
+def _renamed(spark, d):
+    rows = imports.renamed_export(_published(spark, d), {"file_name": "encounter_media_asset0", "title": "name0_value"})
+    path = writers.write_csv(rows.select("photo_seq", "encounter_media_asset0", "name0_value", "rating"), fresh(spark, "renamed"), "export", "v1")
+    return spark.read.csv(path, header=True, nullValue="NA", ignoreTrailingWhiteSpace=True)
+
+
+register(
+    "d35_renamed_export_file",
+    _renamed,
+    """SELECT CAST(photo_seq AS VARCHAR) AS photo_seq, file_name AS encounter_media_asset0, title AS name0_value, rtrim(rating) AS rating FROM listing""",
+)
+
+
 def _id_list(spark, d):
     path = fresh(spark, "ids")
     writers.write_ids(base(spark, d).select("id").distinct(), "id", path)
@@ -273,6 +355,52 @@ register(
 )
 
 
+def _refreshed(spark, d):
+    """Outputs of three sheets, then of the second written anew with other positions and of a fourth that is added."""
+    root, folder = fresh(spark, "sources"), fresh(spark, "outputs")
+    names = ["File name", "Latitude", "Date Original"]
+    rows = _published(spark, d).withColumn("n", F.col("photo_seq").cast("bigint"))
+
+    def write(part, latitude):
+        some = rows.filter(F.col("n") % 4 == part).withColumn("latitude", latitude)
+        _write_lines(some.select(*map(readers.snake, names)), f"{root}/part{part}", names, "overwrite")
+
+    def read(after):
+        found = sheets.read_sheets(spark, root, imports.REQUIRED, modified_after=after).rows
+        return imports.to_encounters(found, {}).select("encounter_media_asset0", "encounter_decimal_latitude", "source_file")
+
+    for part in range(3):
+        write(part, F.col("latitude"))
+    incremental.refresh(spark, root, folder, read, sheets.SHEETS)
+    write(1, F.lit("1.5"))
+    write(3, F.col("latitude"))
+    return folder, incremental.refresh(spark, root, folder, read, sheets.SHEETS)
+
+
+register(
+    "s8_incremental_outputs",
+    lambda spark, d: incremental.current(spark, _refreshed(spark, d)[0]).drop("source_file"),
+    """SELECT encounter_media_asset0, CASE WHEN photo_seq % 4 = 1 THEN 1.5 ELSE latitude END AS encounter_decimal_latitude FROM
+    (SELECT replace(file_name, '.JPG', '.jpg') AS encounter_media_asset0, latitude, photo_seq FROM derived)""",
+)
+
+
+def _refreshed_files(spark, d):
+    """Folders whose files the second run found, and those it read."""
+    folder, found = _refreshed(spark, d)
+    part = F.regexp_extract("source_file", "(part[0-9])/", 1).alias("part")
+    rows = incremental.current(spark, folder).groupBy(part).agg(F.count(F.lit(1)).alias("n_rows"))
+    return found.select(part, "state").distinct().join(rows, "part")
+
+
+register(
+    "s8_incremental_states",
+    _refreshed_files,
+    """SELECT part, state, n_rows FROM (SELECT 'part' || photo_seq % 4 AS part, count(*) AS n_rows FROM derived GROUP BY 1)
+    JOIN (VALUES ('part0', 'same'), ('part1', 'gone'), ('part1', 'new'), ('part2', 'same'), ('part3', 'new')) AS s(part, state) USING (part)""",
+)
+
+
 def _inventory(spark, d):
     """The files of a snapshot of the listing, by the year in their path."""
     path = fresh(spark, "inventory")

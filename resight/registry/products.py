@@ -160,11 +160,12 @@ register(
     lambda spark, d: finalize.simple_photos(final(spark, d)),
     "SELECT id_side, qrate, date, location, reliable, sex, id FROM final",
 )
+SUPPLEMENT = """SELECT id, CASE sex WHEN 'MaleM' THEN 'M' WHEN 'FemaleJ' THEN 'F' ELSE 'UNK' END AS sex,
+    count(*) FILTER (WHERE reliable = 'Yes' AND year IS NOT NULL) > 0 AS reliable FROM final GROUP BY id, sex"""
 register(
     "d16_social_supplement",
     lambda spark, d: finalize.social_supplement(final(spark, d)),
-    """SELECT id, CASE sex WHEN 'MaleM' THEN 'M' WHEN 'FemaleJ' THEN 'F' ELSE 'UNK' END AS sex,
-    count(*) FILTER (WHERE reliable = 'Yes' AND year IS NOT NULL) > 0 AS reliable FROM final GROUP BY id, sex""",
+    SUPPLEMENT,
 )
 register(
     "d16_supplement_by_side",
@@ -176,15 +177,12 @@ register(
     lambda spark, d: finalize.supplement_counts(final(spark, d)),
     "SELECT id, side, sex, count(*) AS n FROM final GROUP BY 1, 2, 3",
 )
-register(
-    "d17_master_ids",
-    lambda spark, d: finalize.master_ids(final(spark, d)),
-    """SELECT CAST(id AS BIGINT) AS id, id_side, sex, sex_genetic, y1 AS year1, y2 AS yearlast, y2 - y1 AS animal_yrs, count(*) AS n FROM (
+MASTER = """SELECT CAST(id AS BIGINT) AS id, id_side, sex, sex_genetic, y1 AS year1, y2 AS yearlast, y2 - y1 AS animal_yrs, count(*) AS n FROM (
       SELECT DISTINCT id, id_side, sex, sex_genetic, qrate, reliable, keyword,
         CASE WHEN count(*) OVER w = count(date) OVER w THEN year(min(date) OVER w) END AS y1,
         CASE WHEN count(*) OVER w = count(date) OVER w THEN year(max(date) OVER w) END AS y2
-      FROM final WINDOW w AS (PARTITION BY id, side)) GROUP BY 1, 2, 3, 4, 5, 6, 7""",
-)
+      FROM final WINDOW w AS (PARTITION BY id, side)) GROUP BY 1, 2, 3, 4, 5, 6, 7"""
+register("d17_master_ids", lambda spark, d: finalize.master_ids(final(spark, d)), MASTER)
 register(
     "d18_biopsied_ids",
     lambda spark, d: finalize.biopsied_ids(final(spark, d)),

@@ -52,13 +52,19 @@ def snake_names(names: Column) -> Column:
     return F.transform(names, name)
 
 
-def _files(spark: SparkSession, root: str, glob: str):
-    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true")
+SHEETS = "*.{csv,csv.gz}"
 
 
-def read_sheets(spark: SparkSession, root: str, wanted: Sequence[str], glob: str = "*.{csv,csv.gz}") -> Sheets:
-    """All sheets under a folder; ``wanted`` are snake_case names, absent ones are null."""
-    files = _files(spark, root, glob)
+def _files(spark: SparkSession, glob: str, modified_after: str | None):
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true")
+    return files.option("modifiedAfter", modified_after).option("timeZone", "UTC") if modified_after else files
+
+
+def read_sheets(
+    spark: SparkSession, root: str, wanted: Sequence[str], glob: str = SHEETS, modified_after: str | None = None
+) -> Sheets:
+    """All sheets under a folder, or those modified after a time (UTC); ``wanted`` are snake_case names, absent ones are null."""
+    files = _files(spark, glob, modified_after)
     lines = files.text(root).select(
         "value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_at")
     )
