@@ -15,7 +15,7 @@ _PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
 def canonical_id(text: Column | str) -> Column:
     """Plain number as text without padding ('0560' -> '560'); anything else is null.
 
-    Exponent and hex spellings count as non-numeric, as do numbers beyond 28 integer digits.
+    Exponent and hex spellings count as non-numeric. Numbers too long for a decimal are shortened as text.
     """
     text = F.col(text) if isinstance(text, str) else text
     # Whole numbers, nearly all rows, take the cast; the pattern sees only what is left.
@@ -25,7 +25,9 @@ def canonical_id(text: Column | str) -> Column:
     other = F.when(number == whole, whole.cast("string")).otherwise(
         F.regexp_replace(number.cast("string"), r"0+$", "")
     )
-    return F.coalesce(plain, other)
+    bare = F.regexp_replace(F.trim(text), r"^\+?(-?)0*(?=\d)", "$1")
+    long = F.when(text.rlike(_PLAIN_NUMBER), F.when(bare.contains("."), F.regexp_replace(bare, r"\.?0*$", "")).otherwise(bare))
+    return F.coalesce(plain, other, long)
 
 
 def id_number(text: Column | str) -> Column:

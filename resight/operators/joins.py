@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resight.operators.gates import require_unique
-from resight.operators.skew import group_sizes, join_back
+from resight.operators.skew import PART_ROWS, group_sizes, join_back
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -23,12 +23,29 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 
 def many_to_one(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], check: bool = True
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    check: bool = True,
+    spread: Sequence[str] | None = None,
+    part_rows: int | None = None,
 ) -> DataFrame:
-    """Left join that must not multiply rows; the right side is checked when asked."""
+    """Left join that must not multiply rows, null keys matching null keys; the right side is checked when asked.
+
+    A key of n times ``part_rows`` left rows, the null key included, has them dealt over n salts by a hash of the ``spread``
+    columns (all, unless given), and its right row repeated n times, so that no task gets a whole hot key.
+    """
+    keys = list(keys)
     if check:
         require_unique(right, keys)
-    return null_safe(left, right, keys)
+    limit = part_rows or PART_ROWS
+    sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    hot = sizes.select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
+    salts = F.coalesce("_salts", F.lit(1))
+    dealt = F.pmod(F.xxhash64(*(spread or left.columns)), salts).cast("int")
+    a = null_safe(left, hot, keys).withColumn("_salt", dealt).drop("_salts")
+    b = null_safe(right, hot, keys).withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return null_safe(a, b, [*keys, "_salt"]).drop("_salt")
 
 
 PAIRS_PER_TASK = 10_000_000
@@ -92,18 +109,19 @@ def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
 
 
 def apply_corrections(
-    rows: DataFrame, corrections: DataFrame, keys: Sequence[str], column: str, new: str = "new_value"
+    rows: DataFrame, corrections: DataFrame, keys: Sequence[str], column: str, new: str = "new_value", check: bool = True
 ) -> DataFrame:
     """Manual corrections: where (keys, current value) is listed, take the new value.
 
     ``corrections`` has the keys, ``column`` (value to replace, optional) and ``new``. Rows without a listed
     correction, null keys included, stay as they are. A correction listed twice with one new value counts once;
-    with different ones it is an error. The join is left to adaptive execution: a short list is broadcast by
+    with different ones it is an error, unless the table was checked before (``check=False``). The join is left to adaptive execution: a short list is broadcast by
     its measured size, with a longer one large groups are split.
     """
     on = [*keys, column] if column in corrections.columns else list(keys)
     listed = corrections.select(*on, F.col(new).alias("_new")).distinct()
-    require_unique(listed, on)
+    if check:
+        require_unique(listed, on)
     joined = rows.join(listed.withColumn("_hit", F.lit(True)), on, "left")
     return joined.withColumn(
         column, F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column))

@@ -43,10 +43,13 @@ def finalize(
     order, down and then up.
     """
     rows = base
+    if gate:  # on one row per individual and label: the photos meet the corrections once, below
+        labels = base.select("id", "sex").distinct()
+        if corrections is not None:
+            labels = apply_corrections(labels, corrections, ["id"], "sex")
+        halt_on_conflicts(labels, "id", "sex", ignore_unknown)
     if corrections is not None:
-        rows = apply_corrections(base, corrections, ["id"], "sex")
-    if gate:
-        halt_on_conflicts(rows, "id", "sex", ignore_unknown)
+        rows = apply_corrections(base, corrections, ["id"], "sex", check=not gate)
     single = gate and not ignore_unknown
     if not single:
         rows = fill_group(rows, "id", "sex", DATE_ORDER, "downup")

@@ -21,6 +21,9 @@ def test_canonical_id(spark):
         "560", "560", None, None, None, None, None, "560", "56.5", "-7", None, "0.5",
     ]
     assert apply(spark, ["0560", "56.5", "x"], ids.id_number) == [560, None, None]
+    digits = "12345678901234567890123456789012345678901234567890"
+    long = [digits, f" 00{digits}.500 ", f"-{digits}.0", f"+{digits}", f"{digits}x", f"{digits}e3"]
+    assert apply(spark, long, ids.canonical_id) == [digits, f"{digits}.5", f"-{digits}", digits, None, None]
 
 
 def test_placeholders_and_remap(spark):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -306,6 +307,22 @@ def test_many_to_many_with_a_hot_key(spark, pairs):
     assert counts == {"hot": (200, 30), "a": (2, 2), "b": (1, 1), None: (1, 1), "only": (1, 0), "zz": (0, 1)}
 
 
+@pytest.mark.parametrize("rows", [None, 20])
+def test_many_to_one_with_hot_keys(spark, rows):
+    left = [("hot", "L", i) for i in range(90)] + [(None, "R", i) for i in range(50)] + [("a", None, 1), ("b", "L", 2), ("none", "L", 3)]
+    right = [("hot", "L", "x"), (None, "R", "y"), ("a", None, "z"), ("b", "L", None), ("zz", "L", "w")]
+    a, b = spark.createDataFrame(left, "id string, side string, n int"), spark.createDataFrame(right, "id string, side string, v string")
+    facts = {(i, s): v for i, s, v in right}
+    want = Counter((i, s, n, facts.get((i, s))) for i, s, n in left)
+    out = joins.many_to_one(a, b, ["id", "side"], spread=["n"], part_rows=rows)
+    assert out.columns == ["id", "side", "n", "v"] and Counter(map(tuple, out.collect())) == want
+    # facts that come from the rows themselves
+    sums = a.groupBy("id", "side").agg(F.max("n").alias("top"))
+    top = {(i, s): max(m for j, t, m in left if (j, t) == (i, s)) for i, s, _ in left}
+    got = joins.many_to_one(a, sums, ["id", "side"], part_rows=rows).collect()
+    assert len(got) == len(left) and all(r["top"] == top[r["id"], r["side"]] for r in got)
+
+
 def test_ids_present(spark, rows, blocks):
     ids = spark.createDataFrame([("hot",), ("a",), ("a",), (None,), ("zz",)], "id string")
     out = joins.ids_present(frame(spark, rows), ids, "id", ["photo_seq"])
