@@ -14,8 +14,8 @@ shards are made by content:
    copies, are reported as ranges.
 4. Ranges go back to every occurrence of the segment, and each document drops the words they cover.
 
-Documents that are needed again are picked by a broadcast of at most 2^``tables.FILTER_BITS`` hash slots; the others
-are not shuffled.
+Documents that are needed again are picked by a broadcast of at most 2^``tables.FILTER_BITS`` rows of 64 hash slots; the
+others are not shuffled. Above some 10^8 such documents the filter is full, saves nothing and loses nothing.
 
 Words are compared as 64-bit hashes. Cases: null text has no words; texts shorter than a window lose nothing;
 rows that repeat both doc_id and text are documents of their own and repeat each other; other columns are
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resight.llm.fm_index import FMIndex, repeated_windows
-from resight.llm.tables import slot, slots
+from resight.llm.tables import slots, touched
 from resight.llm.word_arrays import Words, mix, pieces, utf8
 from resight.session import saved, saved_counting
 
@@ -276,9 +276,9 @@ def remove_repeats(docs: DataFrame, **options: int) -> DataFrame:
             )
 
     per_doc = saved(per_doc)
-    some, touched = slots(per_doc, "rid"), slot("rid") == F.col("slot")
-    changed = docs.join(some, touched, "left_semi").join(per_doc, "rid", "left").select("doc_id", "text", "spans")
-    same = docs.join(some, touched, "left_anti").select("doc_id", "text", F.lit(None).cast(per_doc.schema["spans"].dataType).alias("spans"))
+    some = slots(per_doc, "rid")
+    changed = docs.join(some, touched("rid"), "left_semi").join(per_doc, "rid", "left").select("doc_id", "text", "spans")
+    same = docs.join(some, touched("rid"), "left_anti").select("doc_id", "text", F.lit(None).cast(per_doc.schema["spans"].dataType).alias("spans"))
     joined = changed.union(same)
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 
