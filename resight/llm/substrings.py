@@ -176,7 +176,7 @@ def _read_out(docs: DataFrame, segments: DataFrame, window: int) -> DataFrame:
                 )
 
     # rows that repeat id and text read out the same segments; one is enough
-    once = docs.join(slots(wanted, "rid"), slot("rid") == F.col("slot"), "left_semi").join(wanted, "rid").select("rid", "text", "runs").dropDuplicates(["rid"])
+    once = docs.join(slots(wanted, "rid"), touched("rid"), "left_semi").join(wanted, "rid").select("rid", "text", "runs").dropDuplicates(["rid"])
     return once.mapInArrow(run, "key long, segment long, copies long, words binary")
 
 
