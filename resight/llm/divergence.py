@@ -34,7 +34,11 @@ MEMORY_TERMS = 400_000  # entries counted in a task before they are passed on
 RANGE_ROWS = 65_536
 
 _FIND = re.compile(TERM).findall
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def terms_of(text: str) -> list[str]:
+    """The terms in order; of bytes only A-Z are lower-cased, at the speed of C for any script."""
+    return _FIND(text.encode().lower().decode())
 
 
 def _groups(docs: DataFrame) -> DataFrame:
@@ -50,15 +54,14 @@ def count_terms(docs: DataFrame) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             for (lang, source), terms in count.items():
-                docs_of = seen[lang, source]
-                names = list(terms)
+                names = list(terms)  # both counters meet the terms in one order
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([lang] * len(names), pa.string()),
                         pa.array([source] * len(names), pa.string()),
                         pa.array(names, pa.string()),
                         pa.array(list(terms.values()), pa.int64()),
-                        pa.array([docs_of[t] for t in names], pa.int64()),
+                        pa.array(list(seen[lang, source].values()), pa.int64()),
                     ],
                     ["lang", "source", "term", "n", "docs"],
                 )
@@ -68,12 +71,12 @@ def count_terms(docs: DataFrame) -> DataFrame:
         size = 0
         for batch in batches:
             for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-                terms = Counter(_FIND(text.translate(_LOWER) if not text.isascii() else text.lower()))
+                terms = terms_of(text)
                 of = count[lang, source]
                 size -= len(of)
                 of.update(terms)
                 size += len(of)
-                seen[lang, source].update(terms.keys())
+                seen[lang, source].update(tuple(dict.fromkeys(terms)))
                 if size > MEMORY_TERMS:
                     yield from flush()
                     size = 0

@@ -1,4 +1,5 @@
 import random
+import timeit
 from fractions import Fraction
 
 import numpy as np
@@ -63,3 +64,13 @@ def test_probabilities_of_large_counts(spark):
     assert divergence._probabilities(np.array([n]), total, terms).tolist() == [want]
     row = spark.createDataFrame([(n, total, terms)], "n long, t long, v long")
     assert row.select(divergence.probability(row.n, row.t, row.v)).first()[0] == want
+
+
+def test_terms_of_other_scripts_cost_no_more():
+    text = "İSTANBUL KELVIN ÉTÉ Straße ABC-DEF"
+    assert divergence.terms_of(text) == ["İstanbul", "Kelvin", "ÉtÉ", "straße", "abc", "def"]
+
+    def seconds(text):
+        return min(timeit.repeat(lambda: divergence.terms_of(text), number=1, repeat=5))
+
+    assert seconds("Strasse und Muenchen " * 20_000 + "ß") < 2.5 * seconds("Strasse und Muenchen " * 20_000)
