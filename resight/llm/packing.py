@@ -20,9 +20,10 @@ from __future__ import annotations
 import re
 import warnings
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ from resight.session import saved
 LENGTH = 2048
 STEP = 4  # a class holds the lengths of one multiple of STEP and those just below it
 END_ID = 1
+_END = np.uint32(END_ID).tobytes()
+_ID = attrgetter("id")
 EXACT = 1_000_000  # the linear program is solved to one sequence in so many
 _CACHED = 500_000  # words whose ids a task remembers
 _BLOCKS = 64
@@ -66,12 +69,24 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Known(dict):
+    """Ids of words as bytes, found at the first look-up."""
+
+    def __init__(self, find: Callable[[str], bytes]) -> None:
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.find(word)
+        return found
+
+
 class _Encoder:
     """Ids of texts through a memory of their white-space separated words.
 
     The tokenizer drops white space and no token spans it, so a text's ids are its words' ids in order. A word of
     Latin letters with ASCII marks behind (no apostrophe) goes straight to the merges, letters in lower case and marks
-    as one run: its normal form and its split are known. Every other word takes the tokenizer's whole path.
+    as one run: its normal form and its split are known. Every other word takes the tokenizer's whole path. Words and the
+    stems and marks they are made of are forgotten apart, so that stems outlive the words.
     """
 
     def __init__(self, path: str) -> None:
@@ -80,55 +95,28 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.stems: dict[str, list[int]] = {}
-        self.marks: dict[str, list[int]] = {"": []}
-        self.ids = np.zeros(0, np.uint32)
-        self.first = np.zeros(1, np.int64)
+        self.known = _Known(self._ids)
+        self.runs = _Known(self._merged)
 
-    def _merged(self, word: str) -> list[int]:
-        if not word.isascii():
-            word = "".join(map(self.letters.__getitem__, word.encode()))
-        return [t.id for t in self.merge(word)]
+    def _merged(self, run: str) -> bytes:
+        if not run.isascii():
+            run = "".join(map(self.letters.__getitem__, run.encode()))
+        return array("I", map(_ID, self.merge(run))).tobytes()
 
-    def _ids(self, word: str) -> list[int]:
+    def _ids(self, word: str) -> bytes:
         m = _PLAIN.fullmatch(word)
         if not m:
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        stem = m[1].lower()
-        found = self.stems.get(stem)
-        if found is None:
-            found = self.stems[stem] = self._merged(stem)
-        marks = self.marks.get(m[2])
-        if marks is None:
-            marks = self.marks[m[2]] = self._merged(m[2])
-        return found + marks
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        stem, marks = m.groups()
+        return self.runs[stem.lower()] + self.runs[marks] if marks else self.runs[stem.lower()]
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        split = [_words(t or "") for t in texts]
-        if len(self.known) > _CACHED:
-            self.forget()
-        new = list({w for words in split for w in words}.difference(self.known))
-        if new:
-            found = [self._ids(w) for w in new]
-            for w in new:
-                self.known[w] = len(self.known)
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-            self.ids = np.concatenate([self.ids, flat])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-        for words in split:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            starts, sizes = self.first[at], self.first[at + 1] - self.first[at]
-            ends = np.cumsum(sizes)
-            n = int(ends[-1]) if len(ends) else 0
-            out = np.empty(n + 1, np.uint32)
-            out[:n] = self.ids[np.arange(n) + np.repeat(starts - (ends - sizes), sizes)]
-            out[n] = END_ID
-            yield out
+        for memory in (self.known, self.runs):
+            if len(memory) > _CACHED:
+                memory.clear()
+        look_up = self.known.__getitem__
+        for text in texts:
+            yield np.frombuffer(b"".join(map(look_up, _words(text or ""))) + _END, np.uint32)
 
 
 @lru_cache(1)

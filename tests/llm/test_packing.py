@@ -74,3 +74,15 @@ def test_table_padding(spark):
     rows = packing.pack(docs).collect()
     used = check(rows, {r.doc_id: r.text for r in docs.collect()})
     assert sum(r.length for r in rows) / (used * packing.LENGTH) > 0.99
+
+
+def test_stems_outlive_the_words_they_are_in(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHED", 3)
+    encoder, merged = packing._Encoder(packing.tokenizer_path()), []
+    merge = encoder.merge
+    encoder.merge = lambda run: merged.append(run) or merge(run)
+    text = "Naïvecat naïvecat NAÏVECAT naïveCat don't"
+    for _ in range(3):
+        (ids,) = encoder.encode([text])
+        assert ids.tolist() == tokens(text).tolist()
+    assert len(merged) == 1
