@@ -39,7 +39,7 @@ END_ID = 1
 _END = np.uint32(END_ID).tobytes()
 _ID = attrgetter("id")
 EXACT = 1_000_000  # the linear program is solved to one sequence in so many
-_CACHED = 500_000  # words whose ids a task remembers
+_CACHED = 400_000  # words whose ids a task remembers, and as many from before
 _BLOCKS = 64
 _PIECE_BYTES = 1 << 20
 
@@ -70,15 +70,21 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Known(dict):
-    """Ids of words as bytes, found at the first look-up."""
+    """Ids of words as bytes, found at the first look-up. Words in use outlive :meth:`age`."""
 
     def __init__(self, find: Callable[[str], bytes]) -> None:
         self.find = find
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        found = self[word] = self.find(word)
+        found = self[word] = self.before.get(word) or self.find(word)
         return found
 
+    def age(self) -> None:
+        """Forget the words not looked up since the memory was full for the last time."""
+        self.before = dict(self)
+        self.clear()
+
 
 class _Encoder:
     """Ids of texts through a memory of their white-space separated words.
@@ -86,7 +92,7 @@ class _Encoder:
     The tokenizer drops white space and no token spans it, so a text's ids are its words' ids in order. A word of
     Latin letters with ASCII marks behind (no apostrophe) goes straight to the merges, letters in lower case and marks
     as one run: its normal form and its split are known. Every other word takes the tokenizer's whole path. Words and the
-    stems and marks they are made of are forgotten apart, so that stems outlive the words.
+    stems and marks they are made of are forgotten apart, so that stems outlive the words, and only when out of use.
     """
 
     def __init__(self, path: str) -> None:
@@ -104,6 +110,8 @@ class _Encoder:
         return array("I", map(_ID, self.merge(run))).tobytes()
 
     def _ids(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.runs[word.lower()]
         m = _PLAIN.fullmatch(word)
         if not m:
             return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
@@ -113,7 +121,7 @@ class _Encoder:
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         for memory in (self.known, self.runs):
             if len(memory) > _CACHED:
-                memory.clear()
+                memory.age()
         look_up = self.known.__getitem__
         for text in texts:
             yield np.frombuffer(b"".join(map(look_up, _words(text or ""))) + _END, np.uint32)

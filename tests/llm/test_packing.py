@@ -86,3 +86,15 @@ def test_stems_outlive_the_words_they_are_in(monkeypatch):
         (ids,) = encoder.encode([text])
         assert ids.tolist() == tokens(text).tolist()
     assert len(merged) == 1
+
+
+def test_words_in_use_are_not_merged_again(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHED", 3)
+    encoder = packing._Encoder(packing.tokenizer_path())
+    merged, merge = [], encoder.merge
+    encoder.merge = lambda run: merged.append(run) or merge(run)
+    texts = [f"Often, often {w} 4.5 often" for w in ("one", "two", "three", "four", "five", "six", "seven", "eight")]
+    got = [x.tolist() for t in texts for x in encoder.encode([t])]
+    assert got == [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert merged.count("often") == 1 and merged.count(",") == 1 and "eight" in merged
+    assert len(encoder.known) + len(encoder.known.before) <= 14
