@@ -92,3 +92,17 @@ def test_components(spark):
 def test_query_against_sql(spark, name):
     result = compare(spark, connect(FOLDER), name, queries.QUERIES[name], queries.ORACLES[name], FOLDER)
     assert result == "ok, 1000 rows"
+
+
+def test_rounds_without_new_links_find_no_components_again(spark, monkeypatch):
+    named, find = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda edges: named.append(edges.count()) or find(edges))
+    members = spark.createDataFrame([(k, i) for k in (1, 2) for i in range(k, 60, k)], "bucket long, id long")
+    none = graph.link_buckets(members, lambda pairs: pairs.filter("a = b"))
+    assert none.collect() == [] and named == [0]
+    named.clear()
+    links = graph.link_buckets(members, lambda pairs: pairs.filter("a % 5 = b % 5"))
+    got = {r.node: r.component for r in find(links).collect()}
+    assert got == {i: i % 5 or 5 for i in range(1, 60)}
+    # each later round starts with a star for each group
+    assert len(named) == graph.ROUNDS and all(n <= 59 + 60 for n in named[1:])
